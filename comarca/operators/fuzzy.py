@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from comarca.functions.text import clean_key, normalize_name
-from comarca.operators.joins import salted_join
+from comarca.operators.joins import lookup_join, salted_join
 
 MIN_CONTAINED = 4
 
@@ -104,4 +104,4 @@ def with_best_match(df: DataFrame, dictionary: DataFrame, name: str = "municipal
     """Left join of every row with the best match of its name."""
     best = best_matches(unresolved_names(df, name, block), dictionary, block)
     keyed = df.withColumn("source_name", clean_key(F.col(name)))
-    return salted_join(keyed, best, ["source_name", block]).drop("source_name")
+    return lookup_join(keyed, best, ["source_name", block], derived=True).drop("source_name")

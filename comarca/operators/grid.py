@@ -1,8 +1,9 @@
 """Sheet grids to tidy rows.
 
 A grid row is (source_file, sheet_no, sheet, row_idx, cells ARRAY<STRING>).  What
-has to be known about a sheet (first data row, width) is one aggregate per sheet;
-the rows then meet it in a salted join, so one huge sheet is spread over many tasks.
+has to be known about a sheet (first data row, width) is one aggregate per sheet.
+The rows then meet it by broadcast, without a shuffle of the cells; when there are
+too many sheets for that, in a salted join, so one huge sheet is spread over tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from comarca.functions import fixed_values as fv
 from comarca.functions.text import (canonical_header, file_period, heading_pattern, label_key,
                                     lenient_number, parse_number, sheet_type_and_province, strip,
                                     two_digit_year)
-from comarca.operators.joins import salted_join
+from comarca.operators.joins import lookup_join
 from comarca.operators.ranking import last_wins
 
 SHEET = ["source_file", "sheet_no", "sheet"]
@@ -100,8 +101,8 @@ def keep_last_sheet(profile: DataFrame) -> DataFrame:
 
 def data_rows(grid: DataFrame, profile: DataFrame) -> DataFrame:
     """Rows from the first data row on, with the facts about their sheet."""
-    return (salted_join(grid, profile.drop("sheet", "sheet_rows"), ["source_file", "sheet_no"],
-                        "inner", salt_on=["row_idx"])
+    return (lookup_join(grid, profile.drop("sheet", "sheet_rows"), ["source_file", "sheet_no"],
+                        "inner", derived=True, salt_on=["row_idx"])
             .where(F.col("row_idx") >= F.col("data_start")))
 
 
@@ -181,7 +182,8 @@ def population_rows(grid: DataFrame, v: Vintages = DEFAULT,
     names = cells.withColumn("column", canonical_header(F.col("header")))
     positions = names.groupBy("source_file", "sheet_no", "header_row").agg(
         *[F.min(F.when(F.col("column") == c, F.col("pos"))).alias(f"_at_{c}") for c in columns])
-    rows = (salted_join(grid, positions, ["source_file", "sheet_no"], "inner", salt_on=["row_idx"])
+    rows = (lookup_join(grid, positions, ["source_file", "sheet_no"], "inner", derived=True,
+                        salt_on=["row_idx"])
             .where(F.col("row_idx") > F.col("header_row")))
     filled = F.exists("cells", lambda c: c.isNotNull())
     first = F.lower(F.coalesce(F.get(F.col("cells"), F.lit(0)), F.lit("")))

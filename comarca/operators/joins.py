@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from comarca.session import freeze
+
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
@@ -43,9 +45,16 @@ def salted_join(df: DataFrame, lookup: DataFrame, keys: list[str], how: str = "l
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
-                **limits) -> DataFrame:
-    """Join with a stored dimension: broadcast when its measured size allows it,
-    salted shuffle join otherwise.  ``lookup`` holds at most one row per key."""
+                derived: bool = False, salt_on: list[str] | None = None, **limits) -> DataFrame:
+    """Join a large table with a lookup that has at most a few rows per key.
+
+    The lookup is broadcast when its measured size allows it, so the large table is
+    not shuffled at all; otherwise the join is salted.  A ``derived`` lookup (an
+    aggregate of large tables) is frozen first: it is measured and used, but
+    computed once.
+    """
+    if derived:
+        lookup = freeze(lookup)
     if fits_broadcast(lookup, **limits):
         return df.join(F.broadcast(lookup), keys, how)
-    return salted_join(df, lookup, keys, how)
+    return salted_join(df, lookup, keys, how, salt_on=salt_on)

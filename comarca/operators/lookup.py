@@ -57,7 +57,8 @@ def province_codes(spelled: DataFrame, provinces: DataFrame, aliases: DataFrame)
                      F.coalesce("province_code", "alias_code").alias("province_code"),
                      F.when(F.col("province_code").isNotNull(), "direct")
                      .otherwise("alias").alias("province_rule")))
-    return lookup_join(spelled, known, ["province_key"])
+    # one province may own most spellings
+    return salted_join(spelled, known, ["province_key"])
 
 
 def dictionary_keys(dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -92,11 +93,12 @@ def resolve_names(raw: DataFrame, provinces: DataFrame, aliases: DataFrame,
     exact, loose = dictionary_keys(dictionary)
     resolved = province_codes(spellings.withColumn("province_key", F.col("context_key")),
                               provinces, aliases)
-    resolved = resolved.drop("province_key", "province_rule")
-    resolved = resolved.join(own, ["name_key", "context_key"], "left")
-    resolved = lookup_join(resolved, exact, ["name_key", "province_code"])
     resolved = resolved.withColumn("name_norm", normalize_name(F.col("name_key")))
-    return lookup_join(resolved, loose, ["name_norm", "province_code"]).drop("name_norm")
+    # spellings and lookups are distinct on these keys: no key is hot
+    return (resolved.drop("province_key", "province_rule")
+            .join(own, ["name_key", "context_key"], "left")
+            .join(exact, ["name_key", "province_code"], "left")
+            .join(loose, ["name_norm", "province_code"], "left").drop("name_norm"))
 
 
 def complete_codes(raw: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -105,9 +107,9 @@ def complete_codes(raw: DataFrame, resolved: DataFrame) -> DataFrame:
     original (present and not 0) -> same table -> dictionary, exact name ->
     dictionary, normalised name.  Row count and original codes never change.
     """
-    keyed = (raw.withColumn("name_key", clean_key(F.col("municipality_name")))
-             .withColumn("context_key", clean_key(F.col("province"))))
-    joined = salted_join(keyed, resolved, ["name_key", "context_key"])
+    keyed = raw.withColumns({"name_key": clean_key(F.col("municipality_name")),
+                             "context_key": clean_key(F.col("province"))})
+    joined = lookup_join(keyed, resolved, ["name_key", "context_key"], derived=True)
     original = F.when(F.col("municipality_code") != 0, F.col("municipality_code"))
     source = (F.when(original.isNotNull(), "original")
               .when(F.col("lookup_code").isNotNull(), "sepe_lookup")
@@ -116,13 +118,12 @@ def complete_codes(raw: DataFrame, resolved: DataFrame) -> DataFrame:
               .otherwise("not_found"))
     matched = F.col("norm_code").isNotNull() & (original.isNull())
     return (joined
-            .withColumn("municipality_code_source", source)
-            .withColumn("match_method", F.when(matched, "fuzzy_normalized"))
-            .withColumn("confidence_score", F.when(matched, F.lit(95)))
-            .withColumn("fuzzy_matched_name", F.when(matched, F.col("norm_name")))
-            .withColumn("municipality_code",
-                        F.coalesce(original, "lookup_code", "exact_code", "norm_code"))
-            .withColumn("municipality_code_completed",
-                        ~F.col("municipality_code_source").isin("original", "not_found"))
+            .withColumns({
+                "municipality_code_source": source,
+                "municipality_code_completed": ~source.isin("original", "not_found"),
+                "match_method": F.when(matched, "fuzzy_normalized"),
+                "confidence_score": F.when(matched, F.lit(95)),
+                "fuzzy_matched_name": F.when(matched, F.col("norm_name")),
+                "municipality_code": F.coalesce(original, "lookup_code", "exact_code", "norm_code")})
             .drop("lookup_code", "exact_code", "norm_code", "norm_name",
                   "name_key", "context_key"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from comarca.operators.joins import fits_broadcast
-from comarca.session import shared_folder
+from comarca.session import freeze
 
 MAX_GROUP_ROWS = 2_000_000
 
@@ -33,16 +33,14 @@ def _row_number_by_range(df: DataFrame, partition: list[str], order: list[Column
                          name: str) -> DataFrame:
     """Row number = rows before this one in the sorted table - rows before its group."""
     spark = df.sparkSession
-    shared_folder(spark)
     keys = [F.col(c) for c in partition]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(parts, *keys, *order)
               .sortWithinPartitions(*keys, *order)
               .withColumn("_id", F.monotonically_increasing_id()))
     # the range bounds are sampled: freeze the outcome before it is read twice
-    ranged = (ranged.withColumn("_part", F.shiftright(F.col("_id"), 33))
-              .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-              .drop("_id").checkpoint())
+    ranged = freeze(ranged.select(*df.columns, F.shiftright(F.col("_id"), 33).alias("_part"),
+                                  F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row")))
     # a range meets only neighbouring groups, so this is about ranges + groups rows
     pieces = ranged.groupBy("_part", *partition).agg(F.count(F.lit(1)).alias("_rows"),
                                                      F.min("_row").alias("_first"))

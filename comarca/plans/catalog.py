@@ -12,7 +12,7 @@ from comarca.operators import checks, fuzzy, grid as grids, headers, lookup, ran
 from comarca.operators.timeseries import with_previous_year
 from comarca.plans import dashboard, marts, reports, staging
 from comarca.plans.rollup import yearly_unemployment
-from comarca.plans.workload import (BOUNDS, RATE_YEARS, VINTAGES, derive, employment_grid, grid)
+from comarca.plans.workload import (BOUNDS, RATE_YEARS, VINTAGES, derive, employment_grid, grid, table)
 from comarca.session import new_folder
 from comarca.sources import csvs, files, grids as grid_io, lineage, tables, web
 from comarca.streaming import arrivals
@@ -65,7 +65,7 @@ def _yearly(spark, sf):
 
 def _places(spark, sf) -> int:
     """Number of places: no year of the population table can hold more rows."""
-    return spark.read.parquet(f"{sf}/supplier.parquet").count()
+    return table(spark, sf, "supplier").count()
 
 
 def _trends(spark, sf):
@@ -375,7 +375,7 @@ def label_key(spark, sf):
 @query
 def last_wins(spark, sf):
     """Latest order of every customer."""
-    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    orders = table(spark, sf, "orders")
     return ranking.last_wins(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select(
         "o_custkey", "o_orderkey", "o_orderstatus")
 
@@ -423,7 +423,7 @@ STATS_PREFIX, SITE = "/stats/municipios/", "https://stats.example.org"
 
 @query
 def page_links(spark, sf):
-    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html")
+    pages = table(spark, sf, "pages").select("page_id", "html")
     return web.page_links(pages).groupBy("href").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -516,16 +516,15 @@ def consolidate_month(spark, sf):
 @query
 def full_refresh(spark, sf):
     folder = new_folder(spark, "full-refresh")
-    table = "load_" + folder[-12:]
+    name = "load_" + folder[-12:]
     raw = derive(spark, sf, "raw_population").select("province_code", "cmun", "data_year",
                                                      "population_total")
-    tables.full_refresh(raw.where("data_year = 1995"), table, folder)
-    spark.sql(f"CREATE OR REPLACE VIEW {table}_v AS SELECT * FROM {table}")
-    tables.full_refresh(raw, table)
-    spark.catalog.refreshTable(table)
-    out = spark.table(f"{table}_v").groupBy("data_year").agg(
+    tables.full_refresh(raw.where("data_year = 1995"), name, folder)
+    spark.sql(f"CREATE OR REPLACE VIEW {name}_v AS SELECT * FROM {name}")
+    tables.full_refresh(raw, name)
+    spark.catalog.refreshTable(name)
+    return spark.table(f"{name}_v").groupBy("data_year").agg(
         F.count(F.lit(1)).alias("n"), F.sum("population_total").alias("population_total"))
-    return out
 
 
 @query
@@ -569,7 +568,7 @@ def schema_sync(spark, sf):
 @query
 def stream_new_files(spark, sf):
     folder = new_folder(spark, "arrivals")
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema.simpleString()[7:-1].replace(":", " ")
+    schema = table(spark, sf, "events").schema.simpleString()[7:-1].replace(":", " ")
     for _ in range(2):  # the second call finds nothing new
         arrivals.intake(spark, sf, schema, f"{folder}/sink", f"{folder}/state",
                         glob="events.parquet")

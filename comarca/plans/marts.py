@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from comarca.functions import classes
 from comarca.functions.measures import (change_pct, first_available, half_up, null_as_zero_sum,
                                         pct, per_thousand)
-from comarca.operators.joins import lookup_join
 from comarca.operators.ranking import row_number_by
 from comarca.operators.timeseries import with_previous_year
 
@@ -30,7 +29,8 @@ def population_changes(population: DataFrame, dictionary: DataFrame) -> DataFram
                                 {"total_population": "previous_year_population"})
              .withColumn("population_change", now - before)
              .withColumn("population_change_pct", change_pct(now, before)))
-    return lookup_join(trend, community, PLACE)
+    # the window left the rows partitioned by place: only the dictionary moves
+    return trend.join(community, PLACE, "left")
 
 
 def population_ranks(df: DataFrame, largest_year: int | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from comarca.operators.grid import Vintages
 from comarca.plans.staging import Bounds
@@ -289,10 +290,63 @@ def oracle_with(*names: str) -> str:
     return text.format(**{t: t for t in TABLES})
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; its schema is looked up once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = f"{with_clause(name)}\nSELECT * FROM {name}"
     used = sorted(set(re.findall(r"\{(\w+)\}", text)))
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})
+
+
+HEADINGS = [(0, "PARO REGISTRADO SEGÚN SEXO", None), (1, None, None),
+            (2, "MUNICIPIOS", "TOTAL"), (3, "PROVINCIA", None)]
+
+
+def employment_sheets(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The grid relation ``grid_<kind>`` as a Spark job: one pass for the rows, one
+    distinct for the heading rows of every sheet."""
+    label, parts, offset = {"unemployment": ("PARO ", UNEMPLOYMENT_PARTS, 0),
+                            "contracts": ("CONTRATOS ", CONTRACT_PARTS, 1)}[kind]
+    key, year, nation = F.col("place_key"), F.col("year"), F.col("n_name")
+    digits = lambda c: F.col(c).cast("bigint").cast("string")
+    rows = derive(spark, sf_dir, f"raw_{kind}").withColumn(
+        "n_nationkey", (F.floor(key / BLOCK) % 25).cast("int"))
+    rows = rows.join(table(spark, sf_dir, "nation").drop("n_regionkey"), "n_nationkey")
+    old, at = year <= VINTAGES.old_last, key % BLOCK
+    total = F.col(f"total_{kind}")
+    once, again = F.lit(0), F.lit(1)
+    issue = F.explode(F.when(F.col("n_nationkey") % 10 == 2, F.array(once, again))
+                      .otherwise(F.array(once)))
+    body = rows.withColumn("issue", issue).select(
+        F.concat_ws("_", year, F.lpad(F.col("month").cast("string"), 2, "0"),
+                    F.concat(F.floor(key / 1000).cast("string"), F.lit(".xls"))).alias("source_file"),
+        (F.col("n_nationkey") * 2 + offset + F.col("issue") * 100).cast("int").alias("sheet_no"),
+        F.concat(F.lit(label), nation, F.when(F.col("issue") == 1, ".").otherwise("")).alias("sheet"),
+        year.alias("year"), (at + 4).cast("int").alias("row_idx"),
+        F.when(old, None).when(key % 37 == 36, "n/a")
+         .otherwise(F.col("national_code").cast("string")).alias("c0"),
+        F.when(old & (at == 39), F.concat(F.lit("TOTAL "), nation)).when(old & (at == 38), "Abc")
+         .when(old & (at == 37), nation).otherwise(F.col("municipality_name")).alias("c1"),
+        F.when(key % 17 == 3, F.concat(F.lit("<"), digits(f"total_{kind}")))
+         .when(key % 17 == 5, "").when(key % 17 == 7, "-")
+         .otherwise((total.cast("bigint") + F.col("issue")).cast("string")).alias("c2"),
+        *[digits(c).alias(f"c{i}") for i, c in enumerate(parts, start=3)])
+    cells = [f"c{i}" for i in range(3 + len(parts))]
+    heading = F.array(*[F.struct(F.lit(r).alias("row_idx"), F.lit(a).cast("string").alias("c1"),
+                                 F.lit(b).cast("string").alias("c2")) for r, a, b in HEADINGS])
+    heads = (body.select("source_file", "sheet_no", "sheet", "year").distinct()
+             .select("*", F.inline(heading))
+             .withColumns({c: F.lit(None).cast("string") for c in cells if c not in ("c1", "c2")}))
+    return body.unionByName(heads)
 
 
 def as_cells(columns: list[str]) -> Column:
@@ -302,7 +356,10 @@ def as_cells(columns: list[str]) -> Column:
 
 def grid(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Grid rows of one kind of sheet, in the widths of their vintage."""
-    rows = derive(spark, sf_dir, f"grid_{kind}")
+    if kind == "population":
+        rows = derive(spark, sf_dir, "grid_population")
+    else:
+        rows = employment_sheets(spark, sf_dir, kind)
     columns = sorted([c for c in rows.columns if c[0] == "c" and c[1:].isdigit()],
                      key=lambda c: int(c[1:]))
     cells = as_cells(columns)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -50,3 +50,13 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path inside the shared folder that nobody else writes to."""
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def freeze(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in the shared folder.
+
+    The rows no longer depend on a plan that could be run again with another
+    outcome, and they survive the loss of executors.
+    """
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
