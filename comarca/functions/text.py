@@ -129,18 +129,19 @@ def two_digit_year(name: Column, prefix: str = "pobmun",
 def sheet_type_and_province(sheet: Column) -> tuple[Column, Column]:
     """(data type, province) of a sheet name; spellings are fixed before anything
     is filtered, and only whole labels are replaced."""
-    name = strip(sheet)
-    for wrong, right in fv.SHEET_SPELLINGS:
-        name = F.when(name == wrong, right).otherwise(name)
-    kind, province = F.lit(None).cast("string"), name
-    for prefix, data_type in fv.SHEET_PREFIXES.items():
-        hit = name.startswith(prefix + " ")
-        kind = F.when(hit, data_type).otherwise(kind)
-        province = F.when(hit, strip(F.substr(name, F.lit(len(prefix) + 2)))).otherwise(province)
-    for wrong, right in fv.SHEET_PROVINCES:
-        province = F.when(province == wrong, right).otherwise(province)
-    kind = F.when(name.isin(fv.IGNORED_SHEETS), "ignored").otherwise(F.coalesce(kind, F.lit("unknown")))
-    return kind, province
+    name = _spelled(strip(sheet), fv.SHEET_SPELLINGS)
+    pattern = f"^({'|'.join(fv.SHEET_PREFIXES)}) (.*)$"
+    prefix = F.regexp_extract(name, pattern, 1)
+    kind = (F.when(name.isin(fv.IGNORED_SHEETS), "ignored")
+             .otherwise(_spelled(prefix, [*fv.SHEET_PREFIXES.items(), ("", "unknown")])))
+    province = F.when(prefix == "", name).otherwise(strip(F.regexp_extract(name, pattern, 2)))
+    return kind, _spelled(province, fv.SHEET_PROVINCES)
+
+
+def _spelled(c: Column, pairs: list[tuple[str, str]]) -> Column:
+    """Replace whole labels by a fixed list of spellings."""
+    known = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+    return F.coalesce(F.try_element_at(known, c), c)
 
 
 def heading_pattern() -> str:

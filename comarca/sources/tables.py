@@ -10,15 +10,12 @@ def consolidate(df: DataFrame, path: str, partitions: list[str], fmt: str = "par
     """One folder per partition value (type, year, month).
 
     Partitions listed in ``skip_existing`` are left alone; the others are replaced.
-    Rows are spread by partition *and* a second hash, so a large month is written by
-    several tasks and a small one makes few files.
+    Rebalancing splits a huge month over several tasks by its size at run time and
+    gathers small ones, so neither hot tasks nor thousands of tiny files result.
     """
     if skip_existing is not None:
         df = df.join(skip_existing.select(*partitions).distinct(), partitions, "left_anti")
-    rest = [c for c in df.columns if c not in partitions]
-    spread = F.pmod(F.xxhash64(*rest) + F.spark_partition_id(), F.lit(8))
-    spread = df.withColumn("_spread", spread).repartition(*partitions, "_spread").drop("_spread")
-    (spread.write.mode("overwrite")
+    (df.hint("rebalance", *partitions).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").option("header", True)
      .partitionBy(*partitions).format(fmt).save(path))
 
