@@ -1,8 +1,12 @@
 """Exact ratios and guarded measures.
 
-Ratios of counts are rounded half up by integer arithmetic: the result is the
-same on every engine and in every merge order, stays in whole-stage codegen and
-needs no wide decimals.  Inputs are whole numbers below about 4e12.
+Ratios of counts are rounded half up to the same value on every engine and in every
+merge order.  With numerator and denominator whole, ``(2 * a * 10^k + b) / (2 * b)``
+is at least ``1 / (2 * b)`` below the next whole number it does not reach; as long as
+the numerator is below 2^53 a double quotient cannot round up to it, so ``floor`` is
+exact.  For percentages with two decimals that holds up to about 4e11.  The
+arithmetic on doubles needs no wide decimals and compiles to little code: a table
+with dozens of ratios stays below the size where the JVM stops compiling.
 """
 
 from __future__ import annotations
@@ -14,23 +18,22 @@ from pyspark.sql import Column, functions as F
 
 def half_up(num: Column, den: Column, scale: int = 2) -> Column:
     """``round(num / den, scale)`` for whole numbers, null unless ``den > 0``."""
-    n, d = num.cast("bigint"), den.cast("bigint")
-    two = F.lit(2).cast("bigint")
-    factor = F.lit(2 * 10 ** scale).cast("bigint")
-    magnitude = F.call_function("div", F.abs(n) * factor + d, d * two)
-    signed = F.when(n < 0, -magnitude).otherwise(magnitude)
-    value = signed if scale == 0 else signed / F.lit(float(10 ** scale))
-    return F.when(d > 0, value)
+    n, d = num.cast("double"), den.cast("double")
+    whole = F.floor((F.abs(n) * (2.0 * 10 ** scale) + d) / (d * 2.0))
+    if scale == 0:
+        return F.when(d > 0, F.when(n < 0, -whole).otherwise(whole))
+    # adding zero turns a rounded -0.0 into 0.0
+    return F.when(d > 0, F.signum(n) * whole / (10.0 ** scale) + 0.0)
 
 
 def pct(num: Column, den: Column, scale: int = 2) -> Column:
     """Share of ``den`` in percent."""
-    return half_up(num.cast("bigint") * F.lit(100).cast("bigint"), den, scale)
+    return half_up(num.cast("double") * 100.0, den, scale)
 
 
 def per_thousand(num: Column, den: Column, scale: int = 1) -> Column:
     """Events per thousand of ``den``."""
-    return half_up(num.cast("bigint") * F.lit(1000).cast("bigint"), den, scale)
+    return half_up(num.cast("double") * 1000.0, den, scale)
 
 
 def change_pct(now: Column, before: Column, scale: int = 2) -> Column:
@@ -38,18 +41,9 @@ def change_pct(now: Column, before: Column, scale: int = 2) -> Column:
     return pct(now - before, before, scale)
 
 
-def rounded_avg(c: Column) -> Column:
-    """Aggregate: mean of whole numbers, rounded half up to a whole number.
-
-    Sum and count are exact, so the quotient is at least 1 / (2 * count) away from
-    every half it does not hit: rounding the double is safe.
-    """
-    return F.round(F.avg(c), 0).cast("bigint")
-
-
 def non_negative(c: Column, to: str = "int") -> Column:
     """Whole number (half to even, as a float-to-integer cast does), null below zero."""
-    return F.when(c >= 0, F.bround(c, 0).cast(to))
+    return F.when(c >= 0, F.rint(c).cast(to))
 
 
 def null_as_zero_sum(*cols: Column) -> Column:

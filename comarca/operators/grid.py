@@ -132,18 +132,20 @@ def project_layout(rows: DataFrame, data_type: str, v: Vintages = DEFAULT) -> Da
     """Cells to named columns by layout, cleaned; missing measure cells become 0,
     measures a narrow old sheet does not have stay null."""
     layout = v.layout(data_type, "new")
-    name_at, first = layout.index("municipality_name"), 2
+    names = v.measures[data_type]
+    first = layout.index(names[0])
+    # the cells of all measures are parsed by one expression, not one per column
+    parsed = F.transform(F.slice("cells", first + 1, len(names)),
+                         lambda c: lenient_number(c, drop_blanks=data_type == "contracts"))
     code = parse_number(F.get(F.col("cells"), F.lit(0))).cast("bigint")
-    measures = {}
-    for i, column in enumerate(v.measures[data_type], start=first):
-        value = lenient_number(F.get(F.col("cells"), F.lit(i)), drop_blanks=data_type == "contracts")
-        measures[column] = F.when(F.col("width") > i, value)
-    return (rows.where(F.col("data_type") == data_type)
-            .select("source_file", "sheet", "row_idx",
-                    F.when(F.col("vintage") == "new", code).otherwise(F.lit(0)).alias("municipality_code"),
-                    strip(F.get(F.col("cells"), F.lit(name_at))).alias("municipality_name"),
-                    *[c.alias(n) for n, c in measures.items()],
-                    "province", "year", "month", "data_type"))
+    rows = rows.where(F.col("data_type") == data_type).withColumn("_parsed", parsed)
+    measures = [F.when(F.col("width") > i, F.coalesce(F.get(F.col("_parsed"), F.lit(i - first)), F.lit(0.0)))
+                .alias(name) for i, name in enumerate(names, start=first)]
+    return rows.select(
+        "source_file", "sheet", "row_idx",
+        F.when(F.col("vintage") == "new", code).otherwise(F.lit(0)).alias("municipality_code"),
+        strip(F.get(F.col("cells"), F.lit(layout.index("municipality_name")))).alias("municipality_name"),
+        *measures, "province", "year", "month", "data_type")
 
 
 def tidy_rows(grid: DataFrame, data_type: str, v: Vintages = DEFAULT) -> DataFrame:

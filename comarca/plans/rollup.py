@@ -31,7 +31,6 @@ def yearly_unemployment(staged: DataFrame, keys: list[str] = PLACE, min_months:
     A place is its keys; of several names in a year the last in the alphabet is
     shown.  ``split_names`` makes the name part of the key instead.
     """
-    name = F.col("municipality_name")
     group = [*keys, "municipality_name"] if split_names else keys
     monthly = (staged.where(F.col("municipality_code").isNotNull()
                             & (F.col("total_unemployment") >= 0))
@@ -41,8 +40,7 @@ def yearly_unemployment(staged: DataFrame, keys: list[str] = PLACE, min_months:
                    "_25_44": F.col("men_25_44") + F.col("women_25_44"),
                    "_45_plus": F.col("men_45_plus") + F.col("women_45_plus")}))
     yearly = yearly_profile(monthly, [*group, "data_year"], "total_unemployment",
-                            averages=AVERAGES,
-                            extra=[] if split_names else [F.max(name).alias("municipality_name")])
+                            averages=AVERAGES, label=None if split_names else "municipality_name")
     yearly = yearly.withColumn(
         "primary_total_unemployment",
         first_available(F.col("dec_value").cast("bigint"), F.col("q4_value"), F.col("avg_value")))

@@ -67,7 +67,7 @@ def valid_employment(raw: DataFrame, total: str, b: Bounds = DEFAULT) -> DataFra
 
 
 def _whole(total: Column) -> Column:
-    return F.bround(total, 0).cast("int")
+    return F.rint(total).cast("int")
 
 
 def _stage(raw: DataFrame, measures: list[str], sums: dict[str, list[str]],

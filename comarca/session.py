@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the JVM never compiles methods above 8000 bytes: let Spark generate code per
+    # operator for stages that would be larger (wide staging tables)
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
