@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from comarca.functions.measures import half_up, pct
+from comarca.session import freeze
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -119,25 +120,22 @@ def year_completeness(df: DataFrame, year: str, first: int, last: int,
 def count_outliers(df: DataFrame, group: str, entity: list[str], floor: int = 7000,
                    sigmas: float = 2.0) -> DataFrame:
     """Groups whose number of distinct entities leaves mean +- sigmas * deviation."""
-    counts = (df.dropna("any", subset=entity).groupBy(group)
-              .agg(F.countDistinct(*entity).alias("entity_count"),
-                   F.count(F.lit(1)).alias("total_records")))
     n = F.col("entity_count")
-    # uncorrelated scalar subqueries: one merged aggregate, no join
-    low = counts.select(F.greatest(F.avg(n) - sigmas * F.stddev_samp(n),
-                                   F.lit(float(floor)))).scalar()
-    high = counts.select(F.avg(n) + sigmas * F.stddev_samp(n)).scalar()
-    mean = counts.select(F.avg(n)).scalar()
-    whole = lambda c: F.bround(c, 0).cast("bigint")
-    tested = counts.select(group, "entity_count", "total_records", low.alias("_low"),
-                           high.alias("_high"), mean.alias("_mean"))
-    issue = (F.when(n < F.col("_low"), "too_few_entities")
-              .when(n > F.col("_high"), "too_many_entities"))
-    return (tested.where(issue.isNotNull())
-            .select(group, "entity_count", "total_records",
-                    whole(F.col("_mean")).alias("expected_avg"),
-                    whole(F.col("_low")).alias("min_acceptable"),
-                    whole(F.col("_high")).alias("max_acceptable"),
+    # one row per group, read twice: for the statistics and for the test
+    counts = freeze(df.dropna("any", subset=entity).groupBy(group)
+                    .agg(F.countDistinct(*entity).alias("entity_count"),
+                         F.count(F.lit(1)).alias("total_records")))
+    mean, spread = counts.agg(F.avg(n), F.stddev_samp(n)).first()
+    if mean is None or spread is None:  # fewer than two groups
+        low, high = float(floor), None
+    else:
+        low, high = max(mean - sigmas * spread, float(floor)), mean + sigmas * spread
+    issue = (F.when(n < F.lit(low), "too_few_entities")
+              .when(n > F.lit(high), "too_many_entities"))
+    whole = lambda x: F.bround(F.lit(x).cast("double"), 0).cast("bigint")
+    return (counts.where(issue.isNotNull())
+            .select(group, "entity_count", "total_records", whole(mean).alias("expected_avg"),
+                    whole(low).alias("min_acceptable"), whole(high).alias("max_acceptable"),
                     issue.alias("issue_type")))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from comarca.functions.text import clean_key, normalize_name
 from comarca.operators.joins import lookup_join, salted_join
+from comarca.session import freeze
 
 MIN_CONTAINED = 4
 
@@ -36,7 +37,8 @@ def unresolved_names(df: DataFrame, name: str = "municipality_name",
 
 
 def _sides(names: DataFrame, dictionary: DataFrame, block: str):
-    source = names.withColumn("text", normalize_name(F.col("source_name")))
+    # the names come from a big table and are read several times below
+    source = freeze(names.withColumn("text", normalize_name(F.col("source_name"))))
     target = dictionary.select(
         F.col(block), F.col("municipality_code").alias("matched_code"),
         F.col("municipality_name").alias("matched_name"),

@@ -34,12 +34,15 @@ def _row_number_by_range(df: DataFrame, partition: list[str], order: list[Column
     """Row number = rows before this one in the sorted table - rows before its group."""
     spark = df.sparkSession
     keys = [F.col(c) for c in partition]
+    # copies of a row have equal keys: the input task parts them into several ranges
+    df, columns = df.withColumn("_task", F.spark_partition_id()), df.columns
+    order = [*order, F.col("_task")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(parts, *keys, *order)
               .sortWithinPartitions(*keys, *order)
               .withColumn("_id", F.monotonically_increasing_id()))
     # the range bounds are sampled: freeze the outcome before it is read twice
-    ranged = freeze(ranged.select(*df.columns, F.shiftright(F.col("_id"), 33).alias("_part"),
+    ranged = freeze(ranged.select(*columns, F.shiftright(F.col("_id"), 33).alias("_part"),
                                   F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_row")))
     # a range meets only neighbouring groups, so this is about ranges + groups rows
     pieces = ranged.groupBy("_part", *partition).agg(F.count(F.lit(1)).alias("_rows"),
@@ -57,7 +60,7 @@ def _row_number_by_range(df: DataFrame, partition: list[str], order: list[Column
     same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in partition]
     number = (F.col("_before") + F.col("_row") - F.col("_first") + 1).cast("int")
     return (ranged.join(offsets, [F.col("_part") == F.col("_o_part"), *same])
-            .select(*df.columns, number.alias(name)))
+            .select(*columns, number.alias(name)))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:

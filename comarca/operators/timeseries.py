@@ -68,20 +68,20 @@ def yearly_profile(df: DataFrame, keys: list[str], value: str, month: str = "dat
 
 def with_previous_year(df: DataFrame, keys: list[str], year: str,
                        columns: dict[str, str]) -> DataFrame:
-    """Add last year's values; one row per (keys, year) is required.
+    """Add last year's values.
 
-    A window over one place holds at most one row per year.  The guard on the year
-    makes a gap look like a missing previous year, as a join on ``year - 1`` would.
+    The frame is "exactly one year before", so a gap gives null and a year with
+    several rows gives its largest value.  The input is at yearly grain: a place
+    has a row or a few per year, so its group stays small.
     """
-    window = W.partitionBy(*keys).orderBy(year)
-    adjacent = F.lag(year).over(window) == F.col(year) - 1
-    return df.withColumns({alias: F.when(adjacent, F.lag(c).over(window))
-                           for c, alias in columns.items()})
+    before = W.partitionBy(*keys).orderBy(year).rangeBetween(-1, -1)
+    return df.withColumns({alias: F.max(c).over(before) for c, alias in columns.items()})
 
 
 def with_previous_year_joined(df: DataFrame, keys: list[str], year: str,
                               columns: dict[str, str]) -> DataFrame:
-    """The same by self-join, for input that may repeat (keys, year)."""
-    before = df.select(*keys, (F.col(year) + 1).alias(year),
-                       *[F.col(c).alias(alias) for c, alias in columns.items()])
+    """The same by self-join, for places with very many rows per year: the years
+    before are aggregated first, and adaptive execution splits a hot place."""
+    before = (df.groupBy(*keys, (F.col(year) + 1).alias(year))
+              .agg(*[F.max(c).alias(alias) for c, alias in columns.items()]))
     return df.join(before, [*keys, year], "left")

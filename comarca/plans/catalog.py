@@ -13,7 +13,7 @@ from comarca.operators.timeseries import with_previous_year
 from comarca.plans import dashboard, marts, reports, staging
 from comarca.plans.rollup import yearly_unemployment
 from comarca.plans.workload import (BOUNDS, RATE_YEARS, VINTAGES, derive, employment_grid, grid, table)
-from comarca.session import new_folder
+from comarca.session import freeze, new_folder
 from comarca.sources import csvs, files, grids as grid_io, lineage, tables, web
 from comarca.streaming import arrivals
 
@@ -543,7 +543,8 @@ def materialize_layers(spark, sf):
 @query
 def incremental_upsert(spark, sf):
     """Mart up to 2000, then an incremental run: equals a full build."""
-    people, work = _trends(spark, sf), _yearly(spark, sf)
+    # both inputs are stored tables in a real pipeline
+    people, work = freeze(_trends(spark, sf)), freeze(_yearly(spark, sf))
     first, last = RATE_YEARS
     folder = new_folder(spark, "rates")
     tables.overwrite_partitions(marts.unemployment_rates(people, work, (first, last - 1)),
@@ -626,7 +627,7 @@ def dq_expression(spark, sf):
 
 @query
 def dq_suite(spark, sf):
-    df = _trends(spark, sf)
+    df = freeze(_trends(spark, sf))
     change = col("total_population") - col("previous_year_population")
     consistent = ((col("population_change").isNull() & col("previous_year_population").isNull())
                   | (col("population_change") == change))

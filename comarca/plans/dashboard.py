@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from comarca.functions.measures import pct
-from comarca.operators.joins import lookup_join
+from comarca.session import freeze
 
 PLACE = ["province_code", "municipality_code"]
 
@@ -69,17 +69,23 @@ def gender_split(df: DataFrame) -> DataFrame:
         F.struct(F.lit("Female").alias("gender"), F.col("f").alias("population")))))
 
 
+def _names_of(rows: DataFrame, table: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Left join of a few rows with their names.  The rows go to the table, not the
+    table to the rows: ``rows`` was cut to its first n, so both broadcasts are tiny."""
+    wanted = F.broadcast(rows.select(*keys).distinct())
+    names = table.join(wanted, keys, "left_semi").groupBy(*keys).agg(F.min(name).alias(name))
+    return rows.join(F.broadcast(names), keys, "left")
+
+
 def top_places(df: DataFrame, dictionary: DataFrame, n: int = 10) -> DataFrame:
     """Largest rows with their dictionary names; the cut is made before the join."""
-    top = (df.select(*PLACE, "data_year", "total_population")
-           .orderBy(F.col("total_population").desc(), *PLACE, "data_year").limit(n))
-    names = dictionary.groupBy(*PLACE).agg(F.min("municipality_name").alias("municipality_name"))
-    return lookup_join(top, names, PLACE)
+    top = freeze(df.select(*PLACE, "data_year", "total_population")
+                 .orderBy(F.col("total_population").desc(), *PLACE, "data_year").limit(n))
+    return _names_of(top, dictionary, PLACE, "municipality_name")
 
 
 def detail(df: DataFrame, dictionary: DataFrame, provinces: DataFrame, n: int = 100) -> DataFrame:
     """First rows of the filtered data with place and province names."""
-    head = df.orderBy(F.col("data_year").desc(), *PLACE).limit(n).drop("municipality_name")
-    names = dictionary.groupBy(*PLACE).agg(F.min("municipality_name").alias("municipality_name"))
-    labels = provinces.groupBy("province_code").agg(F.min("province_name").alias("province_name"))
-    return lookup_join(lookup_join(head, names, PLACE), labels, ["province_code"])
+    head = freeze(df.orderBy(F.col("data_year").desc(), *PLACE).limit(n).drop("municipality_name"))
+    named = _names_of(head, dictionary, PLACE, "municipality_name")
+    return _names_of(named, provinces, ["province_code"], "province_name")

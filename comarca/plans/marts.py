@@ -15,20 +15,22 @@ PLACE_YEAR = [*PLACE, "data_year"]
 
 
 def population_changes(population: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Total population per place and year with the change from the year before."""
+    """Total population per place and year with the change from the year before.
+
+    The grain is a place, its name and the year: copies of a row are one fact and
+    are combined before anything is shuffled by place.
+    """
     community = (dictionary.groupBy(*PLACE)
                  .agg(F.min("autonomous_community_code").alias("autonomous_community_code")))
+    total = first_available(F.col("population_total"),
+                            null_as_zero_sum(F.col("population_male"), F.col("population_female")))
     base = (population.where(F.col("municipality_code") != 0)
-            .select(*PLACE_YEAR, "municipality_name",
-                    first_available(F.col("population_total"),
-                                    null_as_zero_sum(F.col("population_male"),
-                                                     F.col("population_female")))
-                    .alias("total_population")))
+            .groupBy(*PLACE_YEAR, "municipality_name").agg(F.max(total).alias("total_population")))
     now, before = F.col("total_population"), F.col("previous_year_population")
-    trend = (with_previous_year(base, PLACE, "data_year",
-                                {"total_population": "previous_year_population"})
-             .withColumn("population_change", now - before)
-             .withColumn("population_change_pct", change_pct(now, before)))
+    trend = with_previous_year(base, PLACE, "data_year",
+                               {"total_population": "previous_year_population"})
+    trend = trend.withColumns({"population_change": now - before,
+                               "population_change_pct": change_pct(now, before)})
     # the window left the rows partitioned by place: only the dictionary moves
     return trend.join(community, PLACE, "left")
 

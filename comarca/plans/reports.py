@@ -58,7 +58,7 @@ def processing_report(profile: DataFrame) -> DataFrame:
     """
     per_file = profile.groupBy("source_file").agg(
         F.min("year").alias("year"), F.min("month").alias("month"),
-        F.min("vintage").alias("vintage"),
+        F.max((F.col("vintage") == "new").cast("int")).alias("new"),
         F.count_if(F.col("data_type").isin(*fv.SHEET_PREFIXES.values())).alias("data_sheets"),
         F.count_if(F.col("data_type").isin(*fv.SHEET_PREFIXES.values())
                    & F.col("data_start").isNotNull()).alias("good_sheets"))
@@ -68,19 +68,21 @@ def processing_report(profile: DataFrame) -> DataFrame:
     return per_file.agg(
         files.alias("files_processed"), failed.alias("files_failed"),
         half_up((files - failed) * 100, files, 1).alias("file_success_pct"),
-        F.count_if(F.col("vintage") != "new").alias("old_format_files"),
-        F.count_if(F.col("vintage") == "new").alias("new_format_files"),
+        F.count_if(F.col("new") == 0).alias("old_format_files"),
+        F.count_if(F.col("new") == 1).alias("new_format_files"),
         good.alias("sheets_processed"), (sheets - good).alias("sheets_failed"),
         half_up(good * 100, sheets, 1).alias("sheet_success_pct"))
 
 
 def coverage_summary(tidy: DataFrame) -> DataFrame:
     """Per data type: provinces, months with their range, files, distinct names."""
-    month = F.format_string("%04d-%02d", "year", "month")
-    return tidy.groupBy("data_type").agg(
-        F.countDistinct("province").alias("provinces"),
-        F.countDistinct("year", "month").alias("months"),
-        F.min(month).alias("first_month"), F.max(month).alias("last_month"),
+    month = F.col("year") * 100 + F.col("month")
+    label = lambda c: F.format_string("%04d-%02d", F.floor(F.col(c) / 100), F.col(c) % 100)
+    counted = tidy.groupBy("data_type").agg(
+        F.countDistinct("province").alias("provinces"), F.countDistinct(month).alias("months"),
+        F.min(month).alias("_first"), F.max(month).alias("_last"),
         F.countDistinct("source_file").alias("files"),
         F.countDistinct("municipality_name").alias("entities"),
         F.count(F.lit(1)).alias("records"))
+    return counted.select("data_type", "provinces", "months", label("_first").alias("first_month"),
+                          label("_last").alias("last_month"), "files", "entities", "records")
