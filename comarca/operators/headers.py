@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from comarca.functions import fixed_values as fv
 from comarca.functions.text import canonical_header, pad_code, parse_number
@@ -19,19 +19,27 @@ def dedupe_headers(headers: DataFrame, keys: list[str], name: str, position: str
                .otherwise(F.concat_ws("_", name, "_nth"))).drop("_nth")
 
 
-def canonical_columns(df: DataFrame, rules=None) -> DataFrame:
-    """Rename the columns of ``df`` to their canonical names.
+def canonical_names(spark: SparkSession, spelled: list[str], rules=None) -> list[str]:
+    """Canonical column names of one header.
 
-    Only the header goes through the driver: it becomes a one-row table, is renamed
-    by the same expressions as header tables, and comes back as the column list.
+    The header becomes a tiny table, is renamed by the same expressions as header
+    tables, and comes back as a list; no data is touched.
     """
-    spark = df.sparkSession
-    headers = spark.createDataFrame(list(enumerate(df.columns)), "pos int, header string")
+    headers = spark.createDataFrame(list(enumerate(spelled)), "pos int, header string")
     unnamed = F.concat(F.lit("unnamed_column_"), F.col("pos"))
     named = headers.withColumn("name", F.coalesce(canonical_header(F.col("header"), rules), unnamed))
     named = dedupe_headers(named, [], "name", "pos")
-    names = [r.name for r in named.orderBy("pos").collect()]
-    return df.toDF(*names)
+    return [r.name for r in named.orderBy("pos").collect()]
+
+
+def rename_columns(df: DataFrame, spelled: list[str], rules=None) -> DataFrame:
+    """Give the columns of ``df``, in order, the canonical form of other spellings."""
+    return df.toDF(*canonical_names(df.sparkSession, spelled, rules))
+
+
+def canonical_columns(df: DataFrame, rules=None) -> DataFrame:
+    """Rename the columns of ``df`` to their canonical names."""
+    return rename_columns(df, df.columns, rules)
 
 
 def union_drifting(frames: list[DataFrame], rules=None) -> DataFrame:

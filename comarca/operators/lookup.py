@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from comarca.functions.text import clean_key, normalize_name
 from comarca.operators.joins import lookup_join, salted_join
+from comarca.session import freeze
 
 
 def one_to_one_lookup(df: DataFrame, name: str, code: str, context: str | None = None,
@@ -45,18 +46,20 @@ def province_codes(spelled: DataFrame, provinces: DataFrame, aliases: DataFrame)
 
     ``provinces``: province_code, province_name; ``aliases``: alias, name.
     """
-    official = (provinces.groupBy(clean_key(F.col("province_name")).alias("province_key"))
-                .agg(F.min("province_code").alias("province_code")))
+    official = provinces.select(clean_key(F.col("province_name")).alias("province_key"),
+                                "province_code")
     by_alias = (aliases.select(clean_key(F.col("alias")).alias("alias_key"),
                                clean_key(F.col("name")).alias("province_key"))
                 .join(official, "province_key")
-                .groupBy(F.col("alias_key").alias("province_key"))
-                .agg(F.min("province_code").alias("alias_code")))
-    known = (official.join(by_alias, "province_key", "full")
-             .select("province_key",
-                     F.coalesce("province_code", "alias_code").alias("province_code"),
-                     F.when(F.col("province_code").isNotNull(), "direct")
-                     .otherwise("alias").alias("province_rule")))
+                .select(F.col("alias_key").alias("province_key"), "province_code"))
+    # direct names win over aliases, the lowest code over others
+    ranked = (official.withColumn("rank", F.lit(0))
+              .unionByName(by_alias.withColumn("rank", F.lit(1))))
+    known = (ranked.groupBy("province_key")
+             .agg(F.min(F.struct("rank", "province_code")).alias("best"))
+             .select("province_key", F.col("best.province_code").alias("province_code"),
+                     F.when(F.col("best.rank") == 0, "direct").otherwise("alias")
+                     .alias("province_rule")))
     # one province may own most spellings
     return salted_join(spelled, known, ["province_key"])
 
@@ -78,17 +81,19 @@ def dictionary_keys(dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def resolve_names(raw: DataFrame, provinces: DataFrame, aliases: DataFrame,
                   dictionary: DataFrame) -> DataFrame:
-    """One row per distinct (name, province spelling) with the code of every rule.
+    """One row per distinct (name, province spelling) with the code every rule gives.
 
     All lookups run on the distinct spellings, not on the rows, so the big table is
     joined once however many rules there are.  Columns: name_key, context_key,
     province_code, lookup_code, exact_code, norm_code, norm_name.
     """
-    spellings = (raw.where(F.col("municipality_name").isNotNull())
-                 .select(clean_key(F.col("municipality_name")).alias("name_key"),
-                         clean_key(F.col("province")).alias("context_key"))
-                 .distinct())
-    own = (one_to_one_lookup(raw, "municipality_name", "municipality_code", "province")
+    # the only scan of the big table: distinct spellings with their codes
+    seen = freeze(raw.where(F.col("municipality_name").isNotNull())
+                  .select(clean_key(F.col("municipality_name")).alias("name_key"),
+                          clean_key(F.col("province")).alias("context_key"),
+                          F.nullif(F.col("municipality_code"), F.lit(0)).alias("code")).distinct())
+    spellings = seen.select("name_key", "context_key").distinct()
+    own = (one_to_one_lookup(seen, "name_key", "code", "context_key")
            .withColumnRenamed("code", "lookup_code"))
     exact, loose = dictionary_keys(dictionary)
     resolved = province_codes(spellings.withColumn("province_key", F.col("context_key")),

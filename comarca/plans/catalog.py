@@ -477,6 +477,25 @@ def drift_union(spark, sf):
     return headers.union_drifting([odd, even])
 
 
+@query
+def drift_load(spark, sf):
+    """Yearly CSVs with two kinds of header, loaded as one typed raw table."""
+    raw, folder = derive(spark, sf, "raw_population"), new_folder(spark, "drift")
+    raw.where("data_year % 2 = 1").select(
+        col("province_code").alias("CPRO"), col("cmun").alias("CMUN"),
+        col("municipality_name").alias("NOMBRE"), col("population_total").alias("POB99"),
+        col("data_year").alias("Periodo")).write.option("header", True).csv(f"{folder}/odd")
+    raw.where("data_year % 2 = 0").select(
+        col("data_year").alias("Periodo"), col("population_total").alias("Ambos sexos"),
+        col("population_male").alias("Hombres"), col("cmun").alias("CMUN"),
+        col("municipality_name").alias("Municipio"), col("province_code").alias("cod_prov"),
+    ).write.option("header", True).csv(f"{folder}/even")
+    loaded = headers.standard_types(csvs.read_drifting_csv(spark, folder))
+    return lineage.stamp(loaded, "demography").select(
+        "province_code", "cmun", "municipality_name", "population_total", "population_male",
+        col("periodo").cast("int").alias("data_year"), "data_source")
+
+
 @query
 def lineage_stamp(spark, sf):
     raw = derive(spark, sf, "raw_population").select("place_key", "data_year", "source_file")

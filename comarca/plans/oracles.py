@@ -668,6 +668,10 @@ SELECT province_code, cmun, municipality_name, population_total,
   CASE WHEN data_year % 2 = 1 THEN population_male END AS population_male,
   CASE WHEN data_year % 2 = 1 THEN population_female END AS population_female, data_year AS año,
   CASE WHEN data_year % 2 = 0 THEN province_name END AS province_name FROM raw_population""")
+ORACLES["drift_load"] = body(["raw_population"], {}, """
+SELECT province_code, cmun, nullif(municipality_name, '') AS municipality_name, population_total,
+  CASE WHEN data_year % 2 = 0 THEN population_male END AS population_male, data_year,
+  'INE' AS data_source FROM raw_population""")
 ORACLES["lineage_stamp"] = body(["raw_population"], {}, """
 SELECT place_key, data_year, source_file, 'INE' AS data_source,
   'Instituto Nacional de Estadística' AS data_source_full, 'demography' AS data_category,

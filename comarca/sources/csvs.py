@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from comarca.operators.headers import rename_columns
+from comarca.operators.joins import lookup_join
 
 CORRUPT = "_corrupt_record"
 
@@ -24,3 +30,39 @@ def good_rows(df: DataFrame) -> DataFrame:
 
 def bad_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT)
+
+
+def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files below ``path`` by their header line.
+
+    Only the first split of a file can hold its header, and the lowest row of that
+    split is it.  One row per file reaches the driver, which lists the files anyway.
+    """
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+             .select("value", F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("id"))
+             .where(F.col("start") == 0))
+    first = lines.groupBy("path").agg(F.min("id").alias("id"))
+    heads = lookup_join(lines, first, ["path", "id"], "inner", derived=True)
+    groups: dict[str, list[str]] = {}
+    for row in heads.select("path", "value").orderBy("path").collect():
+        groups.setdefault(row.value, []).append(row.path)
+    return groups
+
+
+def read_drifting_csv(spark: SparkSession, path: str, separator: str = ",", rules=None) -> DataFrame:
+    """Header CSVs of many years as one table of text columns with canonical names.
+
+    Files that share a header are read by one scan; columns a file lacks are null.
+    """
+    frames = []
+    for header, paths in file_headers(spark, path).items():
+        names = [n.strip().strip('"') for n in header.lstrip("﻿").split(separator)]
+        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+        rows = (spark.read.schema(schema).option("header", True).option("sep", separator)
+                .option("enforceSchema", True).csv(paths))
+        # renamed after the scan: spellings may repeat or be blank
+        frames.append(rename_columns(rows, names, rules)
+                      .withColumn("source_file", F.col("_metadata.file_name")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

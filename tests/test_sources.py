@@ -50,6 +50,18 @@ def test_csv_keeps_bad_lines_and_skips_empty_files(spark, tmp_path, rows):
     assert rows(csvs.bad_rows(df)) == [("a.csv", "no,y")]
 
 
+def test_drifting_csv_headers(spark, tmp_path, rows):
+    (tmp_path / "pobmun98.csv").write_text("CPRO,NOMBRE,pob98,NOMBRE\n01,a,5,x\n")
+    (tmp_path / "pobmun99.csv").write_text("CPRO,NOMBRE,pob98,NOMBRE\n02,b,6,y\n")
+    (tmp_path / "pobmun00.csv").write_text("Total,Municipio,Isla\n7,c,z\n")
+    (tmp_path / "pobmun01.csv").write_text("Total,Municipio,Isla\n")
+    got = csvs.read_drifting_csv(spark, str(tmp_path))
+    assert rows(got, "source_file", "province_code", "municipality_name", "municipality_name_1",
+                "population_total", "island") == [
+        ("pobmun00.csv", None, "c", None, "7", "z"), ("pobmun98.csv", "01", "a", "x", "5", None),
+        ("pobmun99.csv", "02", "b", "y", "6", None)]
+
+
 def test_inventory_and_unprocessed(spark, tmp_path, rows):
     (tmp_path / "a.xls").write_bytes(b"x" * 1024 * 1024)
     (tmp_path / "b.txt").write_bytes(b"x")
