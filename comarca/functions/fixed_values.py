@@ -114,6 +114,10 @@ FOLD_GRAVE_TO = "AEIOUAEIOUAEIO"
 ABBREVIATIONS = [("N SRA", "NUESTRA SENORA"), ("STA", "SANTA"),
                  ("STO", "SANTO"), ("S", "SAN")]
 
+# --- fixed values: rule that gave a code, in the order the rules are tried ---
+CODE_SOURCES = ["original", "sepe_lookup", "ine_reference", "fuzzy_match", "not_found"]
+NORMALIZED_MATCH = ("fuzzy_normalized", 95)
+
 # --- fixed values: sheets that hold no data, sheet prefixes, sheet spellings ---
 IGNORED_SHEETS = ["PORTADA", "Indice", "NO CONSTA MUNIC."]
 SHEET_PREFIXES = {"PARO": "unemployment", "CONTRATOS": "contracts"}

@@ -79,21 +79,23 @@ def clean_column_name(c: Column) -> Column:
 
 
 def canonical_header(c: Column, rules=None) -> Column:
-    """Canonical column of a header spelling; other headers are only cleaned."""
+    """Canonical column of a header spelling; other headers are only cleaned
+    (all of them when ``rules`` is empty)."""
     text = F.lower(strip(c))
 
     def has(term: str) -> Column:
         return text.rlike(term[1:]) if term.startswith("~") else text.contains(term)
 
     ladder = None
-    for name, any_of, all_of, none_of in rules or fv.HEADER_RULES:
+    for name, any_of, all_of, none_of in fv.HEADER_RULES if rules is None else rules:
         hit = reduce(lambda a, b: a | b, [has(t) for t in any_of])
         for term in all_of:
             hit = hit & has(term)
         for term in none_of:
             hit = hit & ~has(term)
         ladder = F.when(hit, name) if ladder is None else ladder.when(hit, name)
-    return ladder.otherwise(clean_column_name(c))
+    cleaned = clean_column_name(c)
+    return cleaned if ladder is None else ladder.otherwise(cleaned)
 
 
 def month_number(label: Column, year: Column) -> Column:

@@ -42,6 +42,15 @@ def canonical_columns(df: DataFrame, rules=None) -> DataFrame:
     return rename_columns(df, df.columns, rules)
 
 
+def settle_ambiguous(df: DataFrame, column: str = "province", sample: int = 10) -> DataFrame:
+    """Rename an ambiguous column to a code or a name by its first filled values."""
+    if column not in df.columns:
+        return df
+    head = df.where(F.col(column).isNotNull()).select(column).limit(sample)
+    names_seen = head.where(~F.col(column).rlike("^[0-9]+$")).count()
+    return df.withColumnRenamed(column, "province_name" if names_seen else "province_code")
+
+
 def union_drifting(frames: list[DataFrame], rules=None) -> DataFrame:
     """One table from files with different headers; columns a file lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),

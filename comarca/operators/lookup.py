@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from comarca.functions import fixed_values as fv
 from comarca.functions.text import clean_key, normalize_name
 from comarca.operators.joins import lookup_join, salted_join
 from comarca.session import freeze
@@ -116,18 +117,20 @@ def complete_codes(raw: DataFrame, resolved: DataFrame) -> DataFrame:
                              "context_key": clean_key(F.col("province"))})
     joined = lookup_join(keyed, resolved, ["name_key", "context_key"], derived=True)
     original = F.when(F.col("municipality_code") != 0, F.col("municipality_code"))
-    source = (F.when(original.isNotNull(), "original")
-              .when(F.col("lookup_code").isNotNull(), "sepe_lookup")
-              .when(F.col("exact_code").isNotNull(), "ine_reference")
-              .when(F.col("norm_code").isNotNull(), "fuzzy_match")
-              .otherwise("not_found"))
-    matched = F.col("norm_code").isNotNull() & (original.isNull())
+    own, same_table, exact, loose, none = fv.CODE_SOURCES
+    method, score = fv.NORMALIZED_MATCH
+    source = (F.when(original.isNotNull(), own)
+              .when(F.col("lookup_code").isNotNull(), same_table)
+              .when(F.col("exact_code").isNotNull(), exact)
+              .when(F.col("norm_code").isNotNull(), loose)
+              .otherwise(none))
+    matched = F.col("norm_code").isNotNull() & original.isNull()
     return (joined
             .withColumns({
                 "municipality_code_source": source,
-                "municipality_code_completed": ~source.isin("original", "not_found"),
-                "match_method": F.when(matched, "fuzzy_normalized"),
-                "confidence_score": F.when(matched, F.lit(95)),
+                "municipality_code_completed": ~source.isin(own, none),
+                "match_method": F.when(matched, method),
+                "confidence_score": F.when(matched, F.lit(score)),
                 "fuzzy_matched_name": F.when(matched, F.col("norm_name")),
                 "municipality_code": F.coalesce(original, "lookup_code", "exact_code", "norm_code")})
             .drop("lookup_code", "exact_code", "norm_code", "norm_name",

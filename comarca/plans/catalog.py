@@ -10,7 +10,7 @@ from comarca.functions import classes, text
 from comarca.functions.fixed_values import UNEMPLOYMENT_MEASURES
 from comarca.operators import checks, fuzzy, grid as grids, headers, lookup, ranking
 from comarca.operators.timeseries import with_previous_year
-from comarca.plans import dashboard, marts, reports, staging
+from comarca.plans import dashboard, marts, reports, staging, suites
 from comarca.plans.rollup import yearly_unemployment
 from comarca.plans.workload import (BOUNDS, RATE_YEARS, VINTAGES, derive, employment_grid, grid, table)
 from comarca.session import freeze, new_folder
@@ -665,6 +665,18 @@ def dq_suite(spark, sf):
     ])
 
 
+@query
+def dq_suite_unemployment(spark, sf):
+    return checks.run_suite(_unemployment(spark, sf), suites.unemployment(BOUNDS))
+
+
+@query
+def dq_suite_yearly(spark, sf):
+    """Declared checks of the rollup; the key without the province is not unique."""
+    return checks.run_suite(freeze(_yearly(spark, sf)),
+                            suites.yearly(BOUNDS, key=("municipality_code", "data_year")))
+
+
 @query
 def year_completeness(spark, sf):
     return checks.year_completeness(_population(spark, sf), "data_year", 1994, 2002, [1996])

@@ -740,6 +740,46 @@ _counted += " UNION ALL ".join(["", *[
 ORACLES["dq_suite"] = body(POP_NEEDS, {**TRENDS, "counted": _counted}, """
 SELECT check_name, severity, violations, CASE WHEN violations <= allow THEN 'pass'
   WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM counted""")
+
+
+def suite(table: str, tests: list[tuple[str, str, int, str]], key: str = "") -> str:
+    """Status rows of (name, severity, allowed, violation) tests on a table."""
+    counted = [f"SELECT '{n}' AS check_name, '{s}' AS severity, {a} AS allow, count(*) AS violations "
+               f"FROM {table} WHERE {w}" for n, s, a, w in tests]
+    if key:
+        counted.append(f"SELECT 'key_unique', 'error', 0, count(*) FROM (SELECT 1 FROM {table} "
+                       f"GROUP BY {key} HAVING count(*) > 1) x")
+    return f"""SELECT check_name, severity, violations, CASE WHEN violations <= allow THEN 'pass'
+  WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM ({' UNION ALL '.join(counted)}) c"""
+
+
+_totals = ["total_unemployment", "total_men_unemployment", "total_women_unemployment"]
+ORACLES["dq_suite_unemployment"] = body(UNEMP_NEEDS, UNEMP, suite("unemployment", [
+    ("municipality_code_not_null", "warn", 1000, "municipality_code IS NULL"),
+    ("municipality_code_range", "error", 0, "municipality_code < 0"),
+    *[(f"{c}_not_null", "error", 0, f"{c} IS NULL") for c in (
+        "municipality_code_completed", "municipality_name", "province_name", "data_year", "data_month",
+        "reporting_date", *_totals)],
+    ("municipality_name_not_empty", "error", 0, "trim(municipality_name) = ''"),
+    ("province_code_range", "error", 0, "province_code NOT BETWEEN 1 AND 52"),
+    ("data_year_range", "error", 0, "data_year NOT BETWEEN 1995 AND 2001"),
+    ("data_month_range", "error", 0, "data_month NOT BETWEEN 1 AND 12"),
+    *[(f"{c}_range", "error", 0, f"{c} < 0") for c in _totals],
+    *[(f"{c}_range", "warn", 1000, f"{c} NOT BETWEEN 0 AND 100") for c in (
+        "men_unemployment_percentage", "women_unemployment_percentage")]]))
+ORACLES["dq_suite_yearly"] = body(UNEMP_NEEDS, YEARLY, suite("rollup", [
+    *[(f"{c}_not_null", "error", 0, f"{c} IS NULL") for c in (
+        "municipality_code", "municipality_name", "province_code", "data_year", "months_with_data",
+        "primary_total_unemployment", "avg_total_unemployment")],
+    ("data_year_range", "error", 0, "data_year NOT BETWEEN 1995 AND 2001"),
+    ("months_with_data_range", "error", 0, "months_with_data NOT BETWEEN 1 AND 12"),
+    ("primary_total_unemployment_range", "error", 0, "primary_total_unemployment < 0"),
+    ("avg_total_unemployment_range", "error", 0, "avg_total_unemployment < 0"),
+    ("data_coverage_quality_values", "error", 0,
+     "data_coverage_quality NOT IN ('complete', 'partial', 'limited')"),
+    ("unemployment_trend_values", "error", 0, "unemployment_trend NOT IN ('high_increase', "
+     "'moderate_increase', 'stable', 'moderate_decrease', 'high_decrease', 'no_comparison_data')")],
+    "municipality_code, data_year"))
 ORACLES["year_completeness"] = body(POP_NEEDS, {
     **POP, "e": "SELECT CAST(y AS INT) AS y FROM range(1994, 2003) t(y) WHERE y <> 1996",
     "a": "SELECT DISTINCT data_year AS y FROM population"}, """

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from comarca.operators.headers import rename_columns
+from comarca.operators.headers import rename_columns, settle_ambiguous
 from comarca.operators.joins import lookup_join
 
 CORRUPT = "_corrupt_record"
@@ -63,6 +63,6 @@ def read_drifting_csv(spark: SparkSession, path: str, separator: str = ",", rule
         rows = (spark.read.schema(schema).option("header", True).option("sep", separator)
                 .option("enforceSchema", True).csv(paths))
         # renamed after the scan: spellings may repeat or be blank
-        frames.append(rename_columns(rows, names, rules)
+        frames.append(settle_ambiguous(rename_columns(rows, names, rules))
                       .withColumn("source_file", F.col("_metadata.file_name")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -149,6 +149,11 @@ def test_headers_of_frames(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "NOMBRE int, `Nombre mun.` int, `  ` int, `2 x` int")
     assert headers.canonical_columns(df).columns == [
         "municipality_name", "municipality_name_1", "unnamed_column_2", "col_2_x"]
+    assert headers.canonical_columns(df, rules=[]).columns == [
+        "nombre", "nombre_mun", "unnamed_column_2", "col_2_x"]
+    for value, name in (("08", "province_code"), ("Lugo", "province_name")):
+        one = spark.createDataFrame([(None,), (value,)], "province string")
+        assert headers.settle_ambiguous(one).columns == [name]
     a = spark.createDataFrame([("x", 1)], "NOMBRE string, pob98 int")
     b = spark.createDataFrame([(2, "y", "z")], "Total int, Municipio string, Isla string")
     got = headers.union_drifting([a, b])

@@ -25,6 +25,22 @@ def test_query_equals_oracle(spark, con, name):
     assert compare(spark, con, name, QUERIES[name], ORACLES[name], SF_DIR) is None
 
 
+def test_declared_suites_fit_their_models(spark):
+    """Every check of every suite names columns its model has."""
+    from comarca.operators.checks import run_suite
+    from comarca.plans import catalog, suites
+    years = catalog.RATE_YEARS
+    models = {"dim_entities": suites.municipalities(), "dim_provinces": suites.provinces(),
+              "stage_population": suites.population(catalog.BOUNDS), "stage_contracts": suites.contracts(),
+              "population_trends": suites.population_trends(catalog.BOUNDS),
+              "rates_mart": suites.rates(years), "socioeconomic_mart": suites.socioeconomic(years)}
+    for name, suite in models.items():
+        status = run_suite(QUERIES[name](spark, SF_DIR), suite)
+        assert status.columns == ["check_name", "severity", "violations", "status"]
+        if name in ("dim_provinces", "stage_population"):
+            assert {r.status for r in status.collect()} == {"pass"}
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"file_inventory"}
