@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from comarca.llm import chat, exact_dedup, url_rules
+from comarca.llm import bpe, chat, exact_dedup, packing, url_rules
 from comarca.llm.common import table
 
 
@@ -19,6 +19,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))\
         .select("page_id", "host", "path", "rule", "verdict")
@@ -27,5 +35,7 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_snapshots": op2_chat_snapshots,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_bpe_merge_replay": op4_bpe_merge_replay,
+    "op7_bm25_packing": op7_bm25_packing,
     "op10_url_rules": op10_url_rules,
 }
