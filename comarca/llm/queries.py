@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from comarca.llm import bpe, chat, exact_dedup, packing, url_rules
+from comarca.llm import bpe, chat, exact_dedup, html_text, nn_descent, packing, quality, url_rules
 from comarca.llm.common import table
 
 
+def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_documents(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations, rendered: conv_id, part, n_turns, copies, rendered."""
     return chat.render_chats(table(spark, sf_dir, "conversations"))
@@ -27,15 +32,26 @@ def op7_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))\
         .select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_rule_ensemble": op1_rule_ensemble,
     "op2_chat_snapshots": op2_chat_snapshots,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe_merge_replay": op4_bpe_merge_replay,
     "op7_bm25_packing": op7_bm25_packing,
+    "op8_host_consensus": op8_host_consensus,
+    "op9_nn_descent": op9_nn_descent,
     "op10_url_rules": op10_url_rules,
 }
