@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from comarca.llm import bpe, chat, exact_dedup, html_text, nn_descent, packing, quality, url_rules
+from comarca.llm import bpe, chat, exact_dedup, html_text, minhash, nn_descent, packing, quality, url_rules
 from comarca.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_snapshots": op2_chat_snapshots,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe_merge_replay": op4_bpe_merge_replay,
+    "op5_circulant_minhash": op5_circulant_minhash,
     "op7_bm25_packing": op7_bm25_packing,
     "op8_host_consensus": op8_host_consensus,
     "op9_nn_descent": op9_nn_descent,
