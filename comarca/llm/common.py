@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,11 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from comarca.session import new_folder
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: Characters that count as white space: space, and tab to carriage return.
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package, whatever folder the driver was started in
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

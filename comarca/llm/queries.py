@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from comarca.llm import bpe, chat, exact_dedup, html_text, minhash, nn_descent, packing, quality, url_rules
+from comarca.llm import bpe, chat, exact_dedup, html_text, minhash, nn_descent, packing, quality, substring_dedup, url_rules
 from comarca.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op7_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe_merge_replay": op4_bpe_merge_replay,
     "op5_circulant_minhash": op5_circulant_minhash,
+    "op6_suffix_arrays": op6_suffix_arrays,
     "op7_bm25_packing": op7_bm25_packing,
     "op8_host_consensus": op8_host_consensus,
     "op9_nn_descent": op9_nn_descent,
