@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from comarca.llm.common import keep_table
@@ -160,11 +161,10 @@ def fit_rules(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, lasso: fl
                    key=lambda r: r.bounds)
     if not rules:
         return RuleEnsemble(math.log((ones + 1) / (n - ones + 1)), ())
-    held = keep_table(points.select("label", *[r.column().alias(f"rule_{i}") for i, r in enumerate(rules)]),
-                      "rules")
-    held = VectorAssembler(inputCols=[f"rule_{i}" for i in range(len(rules))], outputCol="features").transform(held)
+    held = keep_table(points.select("label", F.array(*[r.column() for r in rules]).alias("held")), "rules")
+    held = held.select("label", array_to_vector("held").alias("features"))
     model = LogisticRegression(elasticNetParam=1.0, regParam=lasso, maxIter=60,
-                               standardization=False).fit(held.select("label", "features"))
+                               standardization=False).fit(held)
     weights = model.coefficients.toArray()
     return RuleEnsemble(float(model.intercept),
                         tuple((r, float(w)) for r, w in zip(rules, weights, strict=True) if abs(w) > 1e-6))

@@ -143,7 +143,7 @@ def window_keys(data: np.ndarray) -> np.ndarray:
     return least
 
 
-def make_shards(df: DataFrame, key: str, text: str) -> DataFrame:
+def make_shards(df: DataFrame, key: str, text: str, shard_bytes: int) -> DataFrame:
     """(shard, docs, rows, sizes, data): documents and their UTF-8 bytes, compressed.
 
     A null key is after all others.  The key is kept as it is in ``keys``.
@@ -155,7 +155,7 @@ def make_shards(df: DataFrame, key: str, text: str) -> DataFrame:
             begin = held = 0
             for k, t in enumerate(texts):
                 held += len(t)
-                if held >= SHARD_BYTES or k == len(texts) - 1:
+                if held >= shard_bytes or k == len(texts) - 1:
                     part = texts[begin:k + 1]
                     data = np.frombuffer(b"".join(part), np.uint8)
                     yield pa.RecordBatch.from_arrays(
@@ -238,34 +238,36 @@ def sent_pieces(owners: int):
     return run
 
 
-def earlier_windows(part: pa.Table) -> pa.Table:
-    """For each shard one bit per window it sent: does a document before its least one have it?"""
-    rows = part.to_pylist()
-    windows = [np.frombuffer(r["windows"], np.uint8).astype(np.int64) for r in rows]
-    least = [unpack_bytes(r["least"], np.int64) for r in rows]
-    data = np.concatenate([unpack_bytes(r["data"], np.uint8) for r in rows])
-    all_windows, all_least = np.concatenate(windows), np.concatenate(least)
-    sizes = all_windows + WIDTH - 1
-    ends = np.cumsum(sizes)
-    # suffix arrays of a bounded number of bytes, cut between pieces
-    array = (ends - 1) // ARRAY_BYTES
-    cuts = np.flatnonzero(np.diff(array)) + 1
-    texts = first = None
-    found = []
-    for a, b in zip([0, *cuts], [*cuts, len(ends)], strict=True):
-        begin = ends[a] - sizes[a]
-        held = data[begin:ends[b - 1]]
-        room = np.repeat(ends[a:b] - begin, sizes[a:b]) - np.arange(len(held))
-        starts = spread(ends[a:b] - sizes[a:b] - begin, all_windows[a:b])
-        own, value, number = distinct_strings(held, starts, room, np.repeat(all_least[a:b], all_windows[a:b]), WIDTH)
-        found.append((own, number))
-        texts, first = (own, value) if texts is None else merge(texts, first, own, value)
-    earliest = np.concatenate([first[np.searchsorted(texts, own)][number] for own, number in found])
-    earlier = earliest < np.repeat(all_least, all_windows)
-    per_row = np.cumsum([w.sum() for w in windows])[:-1]
-    bits = [np.packbits(x).tobytes() for x in np.split(earlier, per_row)]
-    return pa.table({"shard": part["shard"], "owner": part["owner"], "kind": pa.array([1] * len(rows), pa.int32()),
-                     "bits": pa.array(bits, pa.binary())})
+def earlier_windows(array_bytes: int):
+    def run(part: pa.Table) -> pa.Table:
+        """For each shard one bit per window it sent: does a document before its least one have it?"""
+        rows = part.to_pylist()
+        windows = [np.frombuffer(r["windows"], np.uint8).astype(np.int64) for r in rows]
+        least = [unpack_bytes(r["least"], np.int64) for r in rows]
+        data = np.concatenate([unpack_bytes(r["data"], np.uint8) for r in rows])
+        all_windows, all_least = np.concatenate(windows), np.concatenate(least)
+        sizes = all_windows + WIDTH - 1
+        ends = np.cumsum(sizes)
+        # suffix arrays of a bounded number of bytes, cut between pieces
+        array = (ends - 1) // array_bytes
+        cuts = np.flatnonzero(np.diff(array)) + 1
+        texts = first = None
+        found = []
+        for a, b in zip([0, *cuts], [*cuts, len(ends)], strict=True):
+            begin = ends[a] - sizes[a]
+            held = data[begin:ends[b - 1]]
+            room = np.repeat(ends[a:b] - begin, sizes[a:b]) - np.arange(len(held))
+            starts = spread(ends[a:b] - sizes[a:b] - begin, all_windows[a:b])
+            own, value, number = distinct_strings(held, starts, room, np.repeat(all_least[a:b], all_windows[a:b]), WIDTH)
+            found.append((own, number))
+            texts, first = (own, value) if texts is None else merge(texts, first, own, value)
+        earliest = np.concatenate([first[np.searchsorted(texts, own)][number] for own, number in found])
+        earlier = earliest < np.repeat(all_least, all_windows)
+        per_row = np.cumsum([w.sum() for w in windows])[:-1]
+        bits = [np.packbits(x).tobytes() for x in np.split(earlier, per_row)]
+        return pa.table({"shard": part["shard"], "owner": part["owner"], "kind": pa.array([1] * len(rows), pa.int32()),
+                         "bits": pa.array(bits, pa.binary())})
+    return run
 
 
 def cleaned(owners: int, with_text: bool):
@@ -307,7 +309,9 @@ def cleaned(owners: int, with_text: bool):
     return run
 
 
-def repeated_bytes(df: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
+def repeated_bytes(df: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False,
+                   shard_bytes: int = SHARD_BYTES, owner_bytes: int = OWNER_BYTES,
+                   array_bytes: int = ARRAY_BYTES) -> DataFrame:
     """Per row: key, n_bytes, n_removed, n_spans, kept_sha256 (and with ``with_text`` the digest of
     the original and the kept text, without characters that lost a byte).
 
@@ -316,15 +320,15 @@ def repeated_bytes(df: DataFrame, key: str = "doc_id", text: str = "text", with_
     key come after all others.  Keys are whole numbers.  Other columns are not read; an empty
     table gives an empty result.
     """
-    shards = keep_table(make_shards(df, key, text), "shards")
+    shards = keep_table(make_shards(df, key, text, shard_bytes), "shards")
     total = shards.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    owners = max(8, total // OWNER_BYTES)
+    owners = max(8, total // owner_bytes)
     answer = "shard long, owner long, kind int, bits binary"
     known = keep_table(sent_keys(shards, owners).groupBy("owner").applyInArrow(shared_keys, answer), "known")
     each = shards.select("shard", "keys", "sizes", "data").groupBy("shard")
     pieces = each.cogroup(known.groupBy("shard")).applyInArrow(
         sent_pieces(owners), "owner long, shard long, windows binary, least binary, data binary")
-    earlier = keep_table(pieces.groupBy("owner").applyInArrow(earlier_windows, answer), "earlier")
+    earlier = keep_table(pieces.groupBy("owner").applyInArrow(earlier_windows(array_bytes), answer), "earlier")
     out = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if with_text:
         out += ", original_sha256 string, kept_text string"
