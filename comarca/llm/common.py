@@ -44,22 +44,6 @@ def rows_from(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
         first += batch.num_rows
 
 
-def keep_rows(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is in ``ids`` (null is a key like any other).
-
-    ``ids`` has a column ``key`` and may have one ``copies``: how many rows of ``df``
-    have that key, of which one is to stay.
-    """
-    wanted = ids.select(F.col(key).alias("_key"))
-    out = df.join(wanted.distinct(), df[key].eqNullSafe(F.col("_key")), "left_semi")
-    if "copies" in ids.columns and not ids.filter("copies > 1").isEmpty():
-        again = ids.filter("copies > 1").select(F.col(key).alias("_key")).distinct()
-        same = df[key].eqNullSafe(F.col("_key"))
-        out = out.join(again, same, "left_anti").unionByName(
-            out.join(again, same, "left_semi").dropDuplicates([key]))
-    return out
-
-
 def salt(*columns: Column, parts: int) -> Column:
     """Number from 0 to ``parts`` - 1 that depends on the values alone."""
     return F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int")

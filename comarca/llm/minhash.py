@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from comarca.llm.common import keep_rows, keep_table, rows_from
+from comarca.llm.common import keep_table, rows_from
 from comarca.llm.shingles import in_chunks, mix, shingle_sets
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32 < 5e-8.
@@ -73,7 +73,7 @@ def set_keys(s: np.ndarray) -> tuple[int, int]:
 
 
 def profiles(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Per row: row, key, n_shingles, h1 and h2 (name of the set), bands."""
+    """Per row: row, key, text_hash, n_shingles, h1 and h2 (name of the set), bands."""
     kind = df.select(f"`{key}`").schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,13 +89,15 @@ def profiles(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
                 names = [set_keys(s) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(first + begin, first + begin + len(sets)), pa.int64()),
-                     batch.column(0).slice(begin, len(sets)), pa.array(map(len, sets), pa.int64()),
+                     batch.column(0).slice(begin, len(sets)), batch.column(2).slice(begin, len(sets)),
+                     pa.array(map(len, sets), pa.int64()),
                      pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()),
                      pa.array(bands, pa.list_(pa.int64()))],
-                    ["row", "key", "n_shingles", "h1", "h2", "bands"])
+                    ["row", "key", "text_hash", "n_shingles", "h1", "h2", "bands"])
 
-    return df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(
-        run, f"row long, key {kind}, n_shingles long, h1 long, h2 long, bands array<long>")
+    return df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"),
+                     F.xxhash64(f"`{text}`").alias("text_hash")).mapInArrow(
+        run, f"row long, key {kind}, text_hash long, n_shingles long, h1 long, h2 long, bands array<long>")
 
 
 def full_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -> DataFrame:
@@ -228,8 +230,8 @@ def across(held: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """Per row: key, n_shingles, component_id, kept.
+                    percent: int = PERCENT, with_hash: bool = False) -> DataFrame:
+    """Per row: key, n_shingles, component_id, kept (and with ``with_hash`` a hash of the text).
 
     ``component_id`` is the smallest key reachable over links of at least ``percent`` / 100
     Jaccard similarity of the sets of ``width``-word shingles, ``kept`` whether it is the row's
@@ -260,15 +262,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     joined = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = joined.groupBy("label").agg(F.min("key").alias("component"))
     named = keep_table(joined.join(least, "label").select("h1", "h2", "n_shingles", "component"), "components")
-    found = rows.select("key", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left")
+    found = rows.select("key", "text_hash", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("key"))
     return found.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"),
-                        F.col("key").eqNullSafe(component).alias("kept"))
+                        F.col("key").eqNullSafe(component).alias("kept"), *["text_hash"] * with_hash)
 
 
 def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
                          percent: int = PERCENT) -> DataFrame:
-    """The rows of ``df`` that are first of their component, with all their columns."""
-    found = keep_table(near_duplicates(df, key, text, width, percent), "near")
-    kept = found.filter("kept").groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
-    return keep_rows(df, kept, key)
+    """The rows of ``df`` that are first of their component, with all their columns.
+
+    Of rows that agree in key and text one stays.
+    """
+    found = keep_table(near_duplicates(df, key, text, width, percent, with_hash=True), "near").filter("kept")
+    right = found.select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash"))
+    marked = df.withColumn("_text_hash", F.xxhash64(f"`{text}`"))
+    out = marked.join(right, marked[key].eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_hash")),
+                      "left_semi")
+    if not found.groupBy(key, "text_hash").count().filter("count > 1").isEmpty():
+        out = out.dropDuplicates([key, "_text_hash"])
+    return out.drop("_text_hash")

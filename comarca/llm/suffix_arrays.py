@@ -67,6 +67,8 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, room: np.ndarray) -> np
     less one byte.  Only positions that start such a run, or lie beyond its prefix, are
     compared.  ``room`` is the number of bytes from each position to the end of its own string.
     """
+    if len(order) < 2:
+        return np.zeros(len(order), np.int64)
     words, n = words_at(data), len(data)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
