@@ -79,9 +79,11 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, room: np.ndarray) -> np
                         & (np.diff(room[place]) == -1) & (np.diff(room[prior]) == -1))
     length = np.zeros(len(place), np.int64)
     todo = ~follows
+    compared = np.zeros(len(place), bool)
     while todo.any():
         length[todo] = _equal_bytes(words, place[todo], prior[todo], limit[todo])
-        known = np.flatnonzero(todo | (length > 0))
+        compared |= todo
+        known = np.flatnonzero(compared | (length > 0))
         last = np.zeros(len(place), np.int64)
         last[known] = known
         np.maximum.accumulate(last, out=last)
@@ -89,11 +91,9 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, room: np.ndarray) -> np
         same_run = np.cumsum(~follows)
         ahead = np.where(same_run == same_run[last], length[last] - passed, 0)
         length = np.where(length > 0, length, np.maximum(ahead, 0))
-        missing = follows & (length == 0) & ~todo
+        missing = (length == 0) & ~compared
         # a run's prefix is used up: compare at the first position behind it
         todo = missing & np.append(True, ~missing[:-1])
-        if not todo.any():
-            break
     out = np.zeros(n, np.int64)
     out[place] = length
     return out[order]
