@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +30,11 @@ WINDOW = 2048
 #: Remainders in a shard, on average.
 SHARD_DOCUMENTS = 1024
 END_OF_TEXT = 1
+#: Documents tokenized together.
+BATCH = 2000
 K1, B = 1.2, 0.75
-#: Encoded words remembered between batches of a task.
-REMEMBERED = 500_000
+#: Encoded chunks remembered between batches of a task, and the longest of them.
+REMEMBERED, LONGEST = 700_000, 64
 #: Characters for which a text may be split into words before the tokenizer sees
 #: them (no white space, case or composition rules beyond Latin letters).
 PLAIN = re.compile("[\\t\\n\\r -~\\xa1-\\xac\\xae-\\u012f\\u0131-\\u024f]*")
@@ -40,8 +43,9 @@ WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_²³¹¼½¾]+|[\\d²³¹¼
 
 
 class WordTokenizer:
-    """Ids (16 bits each) of texts.  Words are independent in this vocabulary, so each is encoded
-    once and remembered; a text that is not plain goes to the tokenizer as a whole."""
+    """Ids (16 bits each) of texts.  No word of this vocabulary spans white space, so each chunk
+    between white space is encoded once and remembered; a text that is not plain goes to the
+    tokenizer as a whole."""
 
     def __init__(self, json: str):
         self.tokenizer = Tokenizer.from_str(json)
@@ -49,39 +53,45 @@ class WordTokenizer:
         if self.size > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
         self.known: dict[str, bytes] = {}
-        self.ends = np.zeros(self.size, bool)  # ids that end a word
-        for token, i in self.tokenizer.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes()
                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """A line of words is encoded at once and cut at the ids that end a word."""
-        out: list[bytes] = []
-        for begin in range(0, len(words), 64):
-            line = words[begin:begin + 64]
-            ids = np.array(self.tokenizer.encode(" ".join(line), add_special_tokens=False).ids, "<u2")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) == len(line):
-                out += [ids[a:b].tobytes() for a, b in zip([0, *cuts], cuts, strict=False)]
-            else:
-                out += self._library(line)
-        return out
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks: those of their words, of which only new ones go to the vocabulary's
+        model (as byte symbols, which is all that its other steps make of a plain word)."""
+        split = [WORD.findall(c) for c in chunks]
+        words = {w: self.known[w] for w in set().union(*split) if w in self.known}
+        tokenize = self.tokenizer.model.tokenize
+        for w in set().union(*split).difference(words):
+            symbols = w if w.isascii() else w.encode().decode("latin-1").translate(SYMBOLS)
+            words[w] = array("H", [t.id for t in tokenize(symbols)]).tobytes()
+        return [words[w[0]] if len(w) == 1 else b"".join(map(words.__getitem__, w)) for w in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [("<|" not in t) and PLAIN.fullmatch(t) is not None for t in texts]
-        words = [WORD.findall(t.lower()) if p else [] for t, p in zip(texts, plain, strict=True)]
+        chunks = [t.lower().split() if p else [] for t, p in zip(texts, plain, strict=True)]
         rest = iter(self._library([t for t, p in zip(texts, plain, strict=True) if not p]))
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        fresh = list(set().union(*words).difference(self.known))
-        self.known.update(zip(fresh, self._words(fresh), strict=True))
-        return [b"".join(map(self.known.__getitem__, w)) if p else next(rest)
-                for w, p in zip(words, plain, strict=True)]
+        distinct = set().union(*chunks)
+        ids = {c: self.known[c] for c in distinct if c in self.known}
+        fresh = [c for c in distinct if c not in ids]
+        ids.update(zip(fresh, self._chunks(fresh), strict=True))
+        if len(self.known) < REMEMBERED:
+            self.known.update((c, ids[c]) for c in fresh if len(c) <= LONGEST)
+        return [b"".join(map(ids.__getitem__, c)) if p else next(rest)
+                for c, p in zip(chunks, plain, strict=True)]
 
 
+def byte_symbols() -> dict[int, str]:
+    """The visible character that stands for each byte: itself if it is one, else the next one
+    from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+SYMBOLS = byte_symbols()
 _tokenizers: dict[int, WordTokenizer] = {}
 
 
@@ -110,11 +120,11 @@ def tokenize(df: DataFrame, key: str, text: str, vocabulary: str, window: int) -
         for batch, first in rows_from(batches):
             key_arrow = batch.schema.field(0).type
             keys, at, rows = batch.column(0), [], []
-            for begin in range(0, batch.num_rows, 500):  # bounds what is held of a batch
-                texts = [t or "" for t in batch.column(1).slice(begin, 500).to_pylist()]
+            for begin in range(0, batch.num_rows, BATCH):  # bounds what is held of a batch
+                texts = [t or "" for t in batch.column(1).slice(begin, BATCH).to_pylist()]
                 for k, blob in enumerate(tokenizer.encode(texts), begin):
                     ids = np.append(np.frombuffer(blob, "<u2"), np.uint16(END_OF_TEXT))
-                    found[np.flatnonzero(np.bincount(ids))] += 1
+                    found[np.unique(ids)] += 1
                     full = len(ids) // window * window
                     for start in range(0, full, window):
                         at.append(k)
