@@ -24,13 +24,17 @@ SHEET = ["source_file", "sheet_no", "sheet"]
 
 @dataclass(frozen=True)
 class Vintages:
-    """Last years of the sheet layouts, and how far the search for data goes."""
+    """Last years of the sheet layouts, and where data may start.
+
+    ``search_rows`` and ``header_rows`` can bound the search for the first data row and the
+    header to the top of a sheet; by default every row is looked at.
+    """
 
     wide_last: int = fv.WIDE_VINTAGE_LAST_YEAR
     old_last: int = fv.OLD_VINTAGE_LAST_YEAR
-    search_rows: int = 50
+    search_rows: int | None = None
     min_code: int = 1000
-    header_rows: int = 10
+    header_rows: int | None = None
     default_header: int = 1
     drop_province_name: str = "equal"  # or "contains"
     measures: dict = field(default_factory=lambda: {
@@ -62,9 +66,13 @@ def looks_like_header(cells: Column) -> Column:
     return (F.size(filled) >= 3) & (words * 2 >= F.size(filled))
 
 
+def _within(rows: int | None) -> Column:
+    return F.lit(True) if rows is None else F.col("row_idx") < rows
+
+
 def header_rows(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
-    """Header row of every sheet: first header-like row near the top, else the default."""
-    near_top = F.col("row_idx") < v.header_rows
+    """Header row of every sheet: the first header-like row, else the default."""
+    near_top = _within(v.header_rows)
     found = F.min(F.when(near_top & looks_like_header(F.col("cells")), F.col("row_idx")))
     return grid.groupBy(*SHEET).agg(F.coalesce(found, F.lit(v.default_header)).alias("header_row"))
 
@@ -79,7 +87,7 @@ def sheet_profile(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
     """One row per sheet: type, province, year, month, vintage, first data row, width."""
     year, month = file_period(F.col("source_file"))
     kind, province = sheet_type_and_province(F.col("sheet"))
-    cells, near_top = F.col("cells"), F.col("row_idx") < v.search_rows
+    cells, near_top = F.col("cells"), _within(v.search_rows)
     old = year <= v.old_last
     code = parse_number(F.get(cells, F.lit(0)))
     is_data = F.when(old, _is_old_data(cells)).otherwise(code > v.min_code)
@@ -99,6 +107,17 @@ def keep_last_sheet(profile: DataFrame) -> DataFrame:
                      ["source_file", "data_type", "_province"], ["sheet_no"]).drop("_province")
 
 
+def rejected_sheets(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
+    """Sheets of which no row is used, with the reason and their number of rows."""
+    profile = sheet_profile(grid, v)
+    known = F.coalesce(F.col("data_type").isin(list(fv.SHEET_PREFIXES.values())), F.lit(False))
+    kept = keep_last_sheet(profile).select(*SHEET, F.lit(True).alias("_kept"))
+    reason = (F.when(~known, "unknown_type").when(F.col("data_start").isNull(), "no_data_row")
+               .when(F.col("_kept").isNull(), "later_sheet"))
+    return (profile.join(kept, SHEET, "left").withColumn("reason", reason).where("reason is not null")
+            .select(*SHEET, "data_type", "sheet_rows", "reason"))
+
+
 def data_rows(grid: DataFrame, profile: DataFrame) -> DataFrame:
     """Rows from the first data row on, with the facts about their sheet."""
     return (lookup_join(grid, profile.drop("sheet", "sheet_rows"), ["source_file", "sheet_no"],
@@ -174,11 +193,12 @@ def population_rows(grid: DataFrame, v: Vintages = DEFAULT,
     column; the positions travel with the sheet, so sheets of all years are read in
     one job without a schema per file.
     """
-    near_top = F.col("row_idx") < v.header_rows
+    near_top = _within(v.header_rows)
     header = F.struct(F.col("row_idx"), F.col("cells"))
     fallback = F.min(F.when(F.col("row_idx") == v.default_header, header))
     found = F.min(F.when(near_top & looks_like_header(F.col("cells")), header))
-    headers = grid.groupBy(*SHEET).agg(F.coalesce(found, fallback).alias("h"))
+    # a sheet without the default row still has its first row
+    headers = grid.groupBy(*SHEET).agg(F.coalesce(found, fallback, F.min(header)).alias("h"))
     cells = headers.select("source_file", "sheet_no", F.col("h.row_idx").alias("header_row"),
                            F.posexplode("h.cells").alias("pos", "header"))
     names = cells.withColumn("column", canonical_header(F.col("header")))

@@ -8,15 +8,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from comarca.functions import fixed_values as fv
 from comarca.functions.text import canonical_header, pad_code, parse_number
+from comarca.operators.joins import lookup_join
 from comarca.operators.ranking import first_per_key
 
 
 def dedupe_headers(headers: DataFrame, keys: list[str], name: str, position: str) -> DataFrame:
-    """Repeated names of one file get ``_1``, ``_2``; a group is one file's header."""
-    nth = F.row_number().over(W.partitionBy(*keys, name).orderBy(position)) - 1
-    return headers.withColumn("_nth", nth).withColumn(
+    """Repeated names of one file get ``_1``, ``_2``; a group is one file's header.
+
+    Numbers that would make a name the header already has are passed over, so
+    ``a, a, a_1`` becomes ``a, a_2, a_1``.
+    """
+    by_name = W.partitionBy(*keys, name)
+    nth = F.row_number().over(by_name.orderBy(position)) - 1
+    taken = F.collect_set(name).over(W.partitionBy(*keys))
+    free = F.filter(F.sequence(F.lit(1), F.col("_nth") + F.size("_taken")),
+                    lambda i: ~F.array_contains(F.col("_taken"), F.concat_ws("_", name, i)))
+    return (headers.withColumn("_nth", nth).withColumn("_taken", taken).withColumn(
         name, F.when(F.col("_nth") == 0, F.col(name))
-               .otherwise(F.concat_ws("_", name, "_nth"))).drop("_nth")
+               .otherwise(F.concat_ws("_", name, F.element_at(free, F.col("_nth").cast("int")))))
+            .drop("_nth", "_taken"))
 
 
 def canonical_names(spark: SparkSession, spelled: list[str], rules=None) -> list[str]:
@@ -42,13 +52,19 @@ def canonical_columns(df: DataFrame, rules=None) -> DataFrame:
     return rename_columns(df, df.columns, rules)
 
 
-def settle_ambiguous(df: DataFrame, column: str = "province", sample: int = 10) -> DataFrame:
-    """Rename an ambiguous column to a code or a name by its first filled values."""
+def settle_ambiguous(df: DataFrame, keys: list[str], column: str = "province") -> DataFrame:
+    """Move an ambiguous column to a code or a name, for each file (``keys``) on its own: a
+    code when all its filled values are digits.  Values that the file has under the settled
+    name stay."""
     if column not in df.columns:
         return df
-    head = df.where(F.col(column).isNotNull()).select(column).limit(sample)
-    names_seen = head.where(~F.col(column).rlike("^[0-9]+$")).count()
-    return df.withColumnRenamed(column, "province_name" if names_seen else "province_code")
+    kinds = (df.where(F.col(column).isNotNull()).groupBy(*keys)
+             .agg(F.min(F.col(column).rlike("^[0-9]+$")).alias("_code")))
+    out = lookup_join(df, kinds, keys, "left", derived=True)
+    for name, is_code in (("province_code", True), ("province_name", False)):
+        moved = F.when(F.col("_code") == is_code, F.col(column))
+        out = out.withColumn(name, F.coalesce(F.col(name), moved) if name in df.columns else moved)
+    return out.drop(column, "_code")
 
 
 def union_drifting(frames: list[DataFrame], rules=None) -> DataFrame:
@@ -84,10 +100,12 @@ def count_non_numeric(df: DataFrame, column: str) -> DataFrame:
 
 
 def sniff_code_or_name(df: DataFrame, keys: list[str], column: str, position: str,
-                       sample: int = 10) -> DataFrame:
-    """Is an ambiguous column a code or a name?  Code when its first filled values
-    are all digits."""
-    head = first_per_key(df.where(F.col(column).isNotNull()), keys, [F.col(position)], sample)
+                       sample: int | None = None) -> DataFrame:
+    """Is an ambiguous column a code or a name?  Code when its filled values are all
+    digits; ``sample`` can bound the look to the first of them."""
+    head = df.where(F.col(column).isNotNull())
+    if sample is not None:
+        head = first_per_key(head, keys, [F.col(position)], sample)
     return (head.groupBy(*keys)
             .agg(F.min(F.col(column).rlike("^[0-9]+$")).alias("_code"))
             .select(*keys, F.when(F.col("_code"), "province_code")

@@ -38,15 +38,15 @@ def population_changes(population: DataFrame, dictionary: DataFrame) -> DataFram
 def population_ranks(df: DataFrame, largest_year: int | None = None) -> DataFrame:
     """Rank by population within the year and within the province and year.
 
-    Equal populations are ordered by place.  ``largest_year`` bounds the number of
+    Equal populations are ordered by place and name (a place has a row per name and year).  ``largest_year`` bounds the number of
     places of a year; beyond one task's share the rank comes from a range sort.
     """
     by_size = [F.col("total_population").desc_nulls_first()]
     national = row_number_by(df, ["data_year"],
-                             by_size + [F.col(c) for c in PLACE],
+                             by_size + [F.col(c) for c in [*PLACE, "municipality_name"]],
                              "population_rank_national", largest_year)
     return row_number_by(national, ["data_year", "province_code"],
-                         by_size + [F.col("municipality_code")],
+                         by_size + [F.col("municipality_code"), F.col("municipality_name")],
                          "population_rank_provincial", largest_year)
 
 

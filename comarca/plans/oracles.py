@@ -423,7 +423,7 @@ _p_cells = [f"c{i}" for i in range(7)]
 _words = " + ".join(f"CASE WHEN nullif({c}, '') IS NOT NULL AND NOT regexp_full_match("
                     f"regexp_replace({c}, '[.,]', '', 'g'), '[0-9]+') THEN 1 ELSE 0 END" for c in _p_cells)
 HEADERS = {"facts": f"SELECT *, {filled(_p_cells)} AS f, {_words} AS w FROM grid_population",
-           "hrow": """SELECT source_file, sheet_no, sheet, coalesce(min(CASE WHEN row_idx < 10 AND f >= 3
+           "hrow": """SELECT source_file, sheet_no, sheet, coalesce(min(CASE WHEN f >= 3
     AND w >= f - w THEN row_idx END), 1) AS header_row FROM facts GROUP BY 1, 2, 3"""}
 ORACLES["grid_header_row"] = body(["grid_population"], HEADERS, "SELECT * FROM hrow")
 
@@ -447,7 +447,7 @@ EMP_NEEDS = ["grid_unemployment", "grid_contracts"]
 def sheet_ctes(source: str, name: str) -> dict[str, str]:
     """Sheet facts of a union of grids in ``source``."""
     return {name: f"""SELECT source_file, sheet_no, sheet,
-    min(CASE WHEN row_idx < 50 AND CASE WHEN y <= 1997 THEN length(c1) > 3 AND regexp_matches(c1, '[a-zA-Z]')
+    min(CASE WHEN CASE WHEN y <= 1997 THEN length(c1) > 3 AND regexp_matches(c1, '[a-zA-Z]')
       AND upper(c1) NOT IN ('TOTAL', 'HOMBRES', 'MUJERES', 'MUNICIPIOS')
       ELSE {number('c0')} > 1000 END THEN row_idx END) AS data_start,
     max(width) AS width, count(*) AS sheet_rows,
@@ -502,6 +502,15 @@ def tidy(kind: str) -> tuple[list[str], dict[str, str]]:
 
 ORACLES["grid_data_start"] = body(EMP_NEEDS, {
     "g": grid_union(["unemployment", "contracts"]), **sheet_ctes("g", "s")}, "SELECT * FROM s")
+# sheets whose number divides by five lose their data rows, others start sixty rows further down
+ORACLES["rejected_sheets"] = body(EMP_NEEDS, {
+    "whole": grid_union(["unemployment", "contracts"]),
+    "g": """SELECT * REPLACE (row_idx + 60 AS row_idx, CASE WHEN sheet_no % 5 = 0 THEN NULL ELSE c0 END AS c0,
+    CASE WHEN sheet_no % 5 = 0 THEN NULL ELSE c1 END AS c1) FROM whole""",
+    **sheet_ctes("g", "s")}, """
+SELECT source_file, sheet_no, sheet, data_type, sheet_rows,
+  CASE WHEN data_start IS NULL THEN 'no_data_row' ELSE 'later_sheet' END AS reason
+FROM s WHERE (source_file, sheet_no) NOT IN (SELECT (source_file, sheet_no) FROM s_kept)""")
 _needs, _ctes = tidy("unemployment")
 ORACLES["grid_to_tidy"] = body(_needs, _ctes, "SELECT * FROM utidy")
 ORACLES["grid_noise_filter"] = body(_needs, _ctes, """

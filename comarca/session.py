@@ -56,10 +56,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared folder.
+    """Compute ``df`` once and keep it as Parquet in the shared folder.
 
-    The rows no longer depend on a plan that could be run again with another
-    outcome, and they survive the loss of executors.
+    The rows no longer depend on a plan that could be run again with another outcome,
+    they survive the loss of executors, and later reads take only the columns they need
+    and know the size of the table.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    folder = new_folder(df.sparkSession, "frozen")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

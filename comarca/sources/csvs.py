@@ -1,68 +1,113 @@
-"""CSV scans with an explicit schema."""
+"""CSV scans: one text scan per folder, cells found by the names in each file's header."""
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from comarca.operators.headers import rename_columns, settle_ambiguous
+from comarca.functions.text import canonical_header
+from comarca.operators.headers import dedupe_headers, settle_ambiguous
 from comarca.operators.joins import lookup_join
+from comarca.session import freeze
 
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, separator: str = ",",
-             **options) -> DataFrame:
-    """Header CSVs below ``path``; bad lines are kept in ``_corrupt_record`` and
-    empty files give no rows.  ``source_file`` names the file of every row."""
-    reader = (spark.read.schema(f"{schema}, {CORRUPT} string").option("header", True)
-              .option("sep", separator).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT)
-              .option("recursiveFileLookup", True).options(**options))
-    return reader.csv(path).withColumn("source_file", F.col("_metadata.file_name"))
+def line_cells(line: Column, separator: str = ",") -> Column:
+    """Cells of a line: separators inside double quotes do not count, doubled quotes are one;
+    an empty cell is null."""
+    cut = re.escape(separator) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    cells = F.transform(F.split(line, cut, -1), lambda c: F.trim(c))
+    quoted = F.transform(cells, lambda c: F.when(
+        c.rlike('(?s)^".*"$'), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"')))
+        .when(c != "", c))
+    quoted = F.transform(quoted, lambda c: F.nullif(c, F.lit("")))
+    return quoted
 
 
-def good_rows(df: DataFrame) -> DataFrame:
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.option("recursiveFileLookup", True).text(path)
+            .select("value", F.col("_metadata.file_path").alias("_path"),
+                    F.col("_metadata.file_name").alias("source_file"),
+                    F.col("_metadata.file_block_start").alias("_start"))
+            .where(F.trim("value") != ""))
 
 
-def bad_rows(df: DataFrame) -> DataFrame:
-    return df.where(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT)
+def file_headers(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
+    """(_path, header, cells): the first line of every file that has one.
+
+    Only the first split of a file can hold it, and the lowest row of that split is it.
+    """
+    lines = _lines(spark, path).where("_start = 0").withColumn("_id", F.monotonically_increasing_id())
+    first = lines.groupBy("_path").agg(F.min_by("value", "_id").alias("header"))
+    return first.withColumn("cells", line_cells(F.ltrim(F.col("header"), F.lit("\ufeff")), separator))
+
+
+def _placed(spark: SparkSession, path: str, separator: str, headers: DataFrame) -> DataFrame:
+    """Data lines with their cells, the positions of the names, and the line itself if it is bad:
+    it has an open quote or not as many cells as its header.
+
+    A line equal to its file's header is no data (files that were joined repeat it).
+    """
+    rows = lookup_join(_lines(spark, path), headers, ["_path"], "inner", derived=True, salt_on=["value"])
+    rows = rows.where(F.col("value") != F.col("header")).withColumn("_cells", line_cells(F.col("value"), separator))
+    bad = (F.size("_cells") != F.col("_width")) | (F.regexp_count("value", F.lit('"')) % 2 == 1)
+    return rows.withColumn(CORRUPT, F.when(bad, F.col("value")))
 
 
-def file_headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files below ``path`` by their header line.
+def read_csv(spark: SparkSession, path: str, schema: str, separator: str = ",") -> DataFrame:
+    """Header CSVs below ``path``, columns matched by name; a column that a file lacks is null.
 
-    Only the first split of a file can hold its header, and the lowest row of that
-    split is it.  One row per file reaches the driver, which lists the files anyway.
+    Lines that are cut or too long, and lines with a value that does not have its type, are
+    kept in ``_corrupt_record``, whatever columns are selected later.  ``source_file`` names
+    the file of every row; empty files give no rows.
     """
-    lines = (spark.read.option("recursiveFileLookup", True).text(path)
-             .select("value", F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("start"),
-                     F.monotonically_increasing_id().alias("id"))
-             .where(F.col("start") == 0))
-    first = lines.groupBy("path").agg(F.min("id").alias("id"))
-    heads = lookup_join(lines, first, ["path", "id"], "inner", derived=True)
-    groups: dict[str, list[str]] = {}
-    for row in heads.select("path", "value").orderBy("path").collect():
-        groups.setdefault(row.value, []).append(row.path)
-    return groups
+    headers = file_headers(spark, path, separator)
+    at = F.map_from_entries(F.transform(F.array_distinct("cells"), lambda c: F.struct(
+        F.coalesce(c, F.lit("")), (F.array_position("cells", c) - 1).cast("int"))))
+    rows = _placed(spark, path, separator, headers.select(
+        "_path", "header", F.size("cells").alias("_width"), at.alias("_at")))
+    fields = StructType.fromDDL(schema).fields
+
+    def text(name: str) -> Column:
+        return F.get(F.col("_cells"), F.try_element_at("_at", F.lit(name)))
+
+    wrong = F.lit(False)
+    for f in fields:
+        wrong = wrong | (text(f.name).isNotNull() & text(f.name).try_cast(f.dataType).isNull())
+    corrupt = F.coalesce(F.col(CORRUPT), F.when(wrong, F.col("value")))
+    return rows.select(*[text(f.name).try_cast(f.dataType).alias(f.name) for f in fields],
+                       corrupt.alias(CORRUPT), "source_file")
+
+
+def good_rows(df: DataFrame) -> DataFrame:
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def bad_rows(df: DataFrame) -> DataFrame:
+    return df.where(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT)
 
 
 def read_drifting_csv(spark: SparkSession, path: str, separator: str = ",", rules=None) -> DataFrame:
     """Header CSVs of many years as one table of text columns with canonical names.
 
-    Files that share a header are read by one scan; columns a file lacks are null.
+    The header of each file becomes the positions of its columns, so files of all kinds are
+    read by one scan; columns a file lacks are null.  Bad lines are kept in
+    ``_corrupt_record``.  A folder without lines gives an empty table.
     """
-    frames = []
-    for header, paths in file_headers(spark, path).items():
-        names = [n.strip().strip('"') for n in header.lstrip("﻿").split(separator)]
-        schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
-        rows = (spark.read.schema(schema).option("header", True).option("sep", separator)
-                .option("enforceSchema", True).csv(paths))
-        # renamed after the scan: spellings may repeat or be blank
-        frames.append(settle_ambiguous(rename_columns(rows, names, rules))
-                      .withColumn("source_file", F.col("_metadata.file_name")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    headers = file_headers(spark, path, separator)
+    spelled = headers.select("_path", "header", F.size("cells").alias("_width"), F.posexplode("cells").alias("pos", "cell"))
+    unnamed = F.concat(F.lit("unnamed_column_"), F.col("pos"))
+    named = dedupe_headers(spelled.withColumn("name", F.coalesce(canonical_header(F.col("cell"), rules), unnamed)),
+                           ["_path"], "name", "pos")
+    placed = freeze(named.groupBy("_path", "header", "_width").agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "pos"))).alias("_at")))
+    # the columns of the table: one name per distinct spelling
+    names = [r.name for r in placed.select(F.explode(F.map_keys("_at")).alias("name")).distinct()
+             .orderBy("name").collect()]
+    rows = _placed(spark, path, separator, placed)
+    cells = rows.select(*[F.get(F.col("_cells"), F.try_element_at("_at", F.lit(n))).alias(n) for n in names],
+                        CORRUPT, "source_file")
+    return settle_ambiguous(cells, ["source_file"])

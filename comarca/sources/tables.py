@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from comarca.session import freeze
+
 
 def consolidate(df: DataFrame, path: str, partitions: list[str], fmt: str = "parquet",
                 skip_existing: DataFrame | None = None) -> None:
@@ -22,10 +24,19 @@ def consolidate(df: DataFrame, path: str, partitions: list[str], fmt: str = "par
 
 def full_refresh(df: DataFrame, table: str, path: str | None = None) -> None:
     """Replace all rows of a table and keep the table itself, so that views on it
-    stay valid; create it when it does not exist."""
+    stay valid; create it when it does not exist.  New columns are added to the table,
+    columns that ``df`` lacks become null."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        known = {c.lower() for c in spark.table(table).columns}
+        new = [f for f in df.schema.fields if f.name.lower() not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ("
+                      + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
+        given = {c.lower() for c in df.columns}
+        df.select(*[F.col(f"`{f.name}`") if f.name.lower() in given
+                    else F.lit(None).cast(f.dataType).alias(f.name)
+                    for f in spark.table(table).schema.fields]).write.insertInto(table, overwrite=True)
     else:
         writer = df.write.format("parquet")
         (writer.option("path", path) if path else writer).saveAsTable(table)
@@ -44,9 +55,15 @@ def create_layer(spark: SparkSession, layer: str, location: str | None = None) -
 
 def materialize(df: DataFrame, name: str, kind: str = "view", layer: str | None = None,
                 partition_by: list[str] = (), sort_by: list[str] = ()) -> DataFrame:
-    """Store a model as a view or as a table of a layer and return it."""
+    """Store a model as a table of a layer, or name it as a view, and return it.
+
+    A frame has no SQL text, so its view is one of the session; a view that stays in a layer
+    is made from a query over stored tables by ``layer_view``.
+    """
     spark = df.sparkSession
     if kind == "view":
+        if layer:
+            raise ValueError("a frame cannot be stored as a view of a layer: use layer_view")
         df.createOrReplaceTempView(name)
         return spark.table(name)
     if sort_by:
@@ -59,6 +76,12 @@ def materialize(df: DataFrame, name: str, kind: str = "view", layer: str | None
     return spark.table(full)
 
 
+def layer_view(spark: SparkSession, name: str, layer: str, query: str) -> DataFrame:
+    """A view in a layer over stored tables; it stays when the session ends."""
+    spark.sql(f"CREATE OR REPLACE VIEW {layer}.{name} AS {query}")
+    return spark.table(f"{layer}.{name}")
+
+
 def align_columns(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Give ``target`` the columns of ``batch``: new ones are null, vanished ones go."""
     known = set(target.columns)
@@ -88,6 +111,22 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
      .partitionBy(partition).parquet(path))
 
 
+def merge_partitions(batch: DataFrame, path: str, keys: list[str], partition: str) -> None:
+    """Upsert ``batch`` into the stored table at ``path``: rows with its keys are replaced.
+
+    Only the partitions that ``batch`` has rows for are read and written.  The merged rows
+    are computed into a folder of their own first, as a table cannot be read and overwritten
+    at once; a run that is repeated gives the same table.
+    """
+    spark = batch.sparkSession
+    batch = freeze(batch)
+    target = spark.read.parquet(path)
+    touched = batch.select(partition).distinct()
+    reached = target.join(F.broadcast(touched), partition, "left_semi")  # a row per partition
+    merged = freeze(upsert(reached, batch, keys))
+    overwrite_partitions(merged, path, partition)
+
+
 def refresh_start(target: DataFrame, year: str, default: int, lookback: int = 1) -> int:
     """First year an incremental run recomputes: latest year of the target - lookback."""
     latest = target.agg(F.max(year)).first()[0]

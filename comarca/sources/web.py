@@ -4,14 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from comarca.functions import fixed_values as fv
 from comarca.functions.text import strip
 
-HREF = r'href="([^"]*)"'
+#: An address in double quotes, in single quotes or bare.
+HREF = r"""(?is)<[^<>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
-def _match(text: Column, pattern: str) -> Column:
-    """First capture of the pattern, null when it does not occur."""
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, 1))
+def decode_entities(text: Column) -> Column:
+    """Common named character references and the decimal and hexadecimal ones of ASCII."""
+    parts = F.regexp_extract_all(text, F.lit(r"(?s)(&#[xX]?[0-9a-fA-F]+;?|[^&]+|&)"), F.lit(1))
+
+    def one(part: Column) -> Column:
+        digits = F.regexp_extract(part, "^&#([0-9]+);?$", 1)
+        hexed = F.regexp_extract(part, "^&#[xX]([0-9a-fA-F]+);?$", 1)
+        number = F.coalesce(F.expr("cast(null as int)"), F.when(digits != "", digits.try_cast("int")),
+                            F.when(hexed != "", F.conv(hexed, 16, 10).try_cast("int")))
+        return F.when(number.between(1, 255), F.char(number)).otherwise(part)
+
+    out = F.array_join(F.transform(parts, one), "")
+    for name, value in fv.ENTITIES:  # the ampersand comes last
+        out = F.replace(out, F.lit(name), F.lit(value))
+    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+
+
+def _address(raw: Column) -> Column:
+    return decode_entities(F.trim(F.regexp_replace(raw, r"""^["']|["']$""", "")))
+
+
+def _first(text: Column, pattern: str) -> Column:
+    """First address that the pattern occurs in, null without one."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(HREF), F.lit(1)), _address)
+    return F.get(F.filter(found, lambda a: a.rlike(pattern)), F.lit(0))
 
 
 def absolute(base: str, href: Column) -> Column:
@@ -23,8 +47,8 @@ def absolute(base: str, href: Column) -> Column:
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Every link of every page."""
-    return pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(HREF), F.lit(1)))
-                        .alias("href"))
+    found = F.regexp_extract_all("html", F.lit(HREF), F.lit(1))
+    return pages.select("page_id", F.explode(F.transform(found, _address)).alias("href"))
 
 
 def links_by_year(pages: DataFrame, prefix: str, base: str = "") -> DataFrame:
@@ -51,8 +75,8 @@ def pick_attachment(pages: DataFrame, marker: str, extension: str = "xls",
     html = F.col("html")
     at = F.instr(F.lower(html), marker.lower())
     after = F.when(at > 0, F.substr(html, at))
-    near = _match(after, rf'(?i)href="([^"]*\.{extension}[^"]*)"')
-    ending = _match(html, rf'href="([^"]*\.(?:{extension}|{extension}x))"')
+    near = _first(after, rf"(?i)\.{extension}")
+    ending = _first(html, rf"\.(?:{extension}|{extension}x)$")
     picked = F.coalesce(near, ending)
     rule = (F.when(near.isNotNull(), "after_marker").when(ending.isNotNull(), "first_link")
              .otherwise("none"))
@@ -63,12 +87,32 @@ def pick_attachment(pages: DataFrame, marker: str, extension: str = "xls",
 def _cell_texts(row: Column) -> Column:
     """Texts of the cells of one table row, without tags."""
     cells = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
-    return F.transform(cells, lambda c: strip(F.regexp_replace(c, "<[^>]*>", "")))
+    return F.transform(cells, lambda c: strip(decode_entities(F.regexp_replace(c, "<[^>]*>", ""))))
+
+
+def _first_table(html: Column) -> Column:
+    """Inside of the first table, up to the end tag that belongs to it, without the tables in
+    it (their text stays in the cell)."""
+    parts = F.split(html, r"(?i)(?=</?table\b)")
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit(False).alias("over"))
+
+    def step(state: Column, part: Column) -> Column:
+        opens, closes = part.rlike(r"(?i)^<table\b"), part.rlike(r"(?i)^</table\b")
+        depth = state["depth"] + F.when(opens, 1).when(closes & (state["depth"] > 0), -1).otherwise(0)
+        over = state["over"] | (closes & (state["depth"] == 1))
+        inner = F.regexp_replace(F.regexp_replace(part, r"(?is)^</?table\b[^>]*>", " "),
+                                 r"(?i)</?t[rdh]\b[^>]*>", " ")
+        outer = F.regexp_replace(part, r"(?is)^</?table\b[^>]*>", "")
+        said = F.when(state["over"] | over | (depth == 0), "").when(depth > 1, inner).otherwise(outer)
+        return F.struct(depth.alias("depth"), F.concat(state["text"], said).alias("text"), over.alias("over"))
+
+    done = F.aggregate(parts, start, step)
+    return F.when(done["over"], done["text"]).otherwise("")
 
 
 def html_table_rows(pages: DataFrame) -> DataFrame:
     """First table of every page: (page_id, row_no, col_no, header, value)."""
-    table = F.regexp_extract("html", r"(?is)<table\b[^>]*>(.*?)</table>", 1)
+    table = _first_table(F.col("html"))
     rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
     # rows without cells do not count: drop them before rows are numbered
     filled = F.filter(F.transform(rows, _cell_texts), lambda row: F.size(row) > 0)

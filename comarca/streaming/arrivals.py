@@ -33,6 +33,14 @@ def intake(spark: SparkSession, path: str, schema: str, sink: str, state: str,
     query.awaitTermination()
 
 
-def current_rows(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
-    """Latest version of every key over all batches."""
-    return last_wins(spark.read.parquet(sink), keys, ["batch_id"]).drop("batch_id")
+def current_rows(spark: SparkSession, sink: str, keys: list[str], sequence: list[str] = ()) -> DataFrame:
+    """Latest version of every key over all batches.
+
+    ``sequence`` (an event time, file and row) orders the rows of a key in one batch; what is
+    still equal is ordered by all its values, so the choice never depends on the run.
+    """
+    rows = spark.read.parquet(sink)
+    rest = [c for c in rows.columns if c not in {*keys, *sequence, "batch_id"}]
+    order = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    return last_wins(rows.withColumn("_rest", F.to_json(order) if rest else order), keys,
+                     ["batch_id", *sequence, "_rest"]).drop("batch_id", "_rest")

@@ -151,9 +151,12 @@ def test_headers_of_frames(spark):
         "municipality_name", "municipality_name_1", "unnamed_column_2", "col_2_x"]
     assert headers.canonical_columns(df, rules=[]).columns == [
         "nombre", "nombre_mun", "unnamed_column_2", "col_2_x"]
-    for value, name in (("08", "province_code"), ("Lugo", "province_name")):
-        one = spark.createDataFrame([(None,), (value,)], "province string")
-        assert headers.settle_ambiguous(one).columns == [name]
+    mixed = spark.createDataFrame([("a", None), ("a", "08"), ("b", "09"), ("b", "Lugo")], "f string, province string")
+    assert sorted(map(tuple, headers.settle_ambiguous(mixed, ["f"]).collect()), key=str) == [
+        ("a", "08", None), ("a", None, None), ("b", None, "09"), ("b", None, "Lugo")]
+    repeated = spark.createDataFrame([(0, "a"), (1, "a"), (2, "a_1"), (3, "a")], "pos int, name string")
+    assert [r.name for r in headers.dedupe_headers(repeated, [], "name", "pos").orderBy("pos").collect()] == [
+        "a", "a_2", "a_1", "a_3"]
     a = spark.createDataFrame([("x", 1)], "NOMBRE string, pob98 int")
     b = spark.createDataFrame([(2, "y", "z")], "Total int, Municipio string, Isla string")
     got = headers.union_drifting([a, b])

@@ -45,9 +45,12 @@ def test_csv_keeps_bad_lines_and_skips_empty_files(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text("k,v\n1,x\nno,y\n")
     (tmp_path / "b.csv").write_text("k,v\n")
     (tmp_path / "c.csv").write_text("")
-    df = csvs.read_csv(spark, str(tmp_path), "k int, v string").cache()
-    assert rows(csvs.good_rows(df)) == [(1, "x", "a.csv")]
-    assert rows(csvs.bad_rows(df)) == [("a.csv", "no,y")]
+    (tmp_path / "d.csv").write_text('v,extra,k\n"p, ""q""",1,7\nshort,1\n')
+    df = csvs.read_csv(spark, str(tmp_path), "k int, v string")
+    assert rows(csvs.good_rows(df)) == [(1, "x", "a.csv"), (7, 'p, "q"', "d.csv")]
+    assert rows(csvs.good_rows(df).select("v")) == [('p, "q"',), ("x",)]
+    assert rows(csvs.bad_rows(df)) == [("a.csv", "no,y"), ("d.csv", "short,1")]
+    assert csvs.good_rows(df).count() == 2
 
 
 def test_drifting_csv_headers(spark, tmp_path, rows):
@@ -62,6 +65,21 @@ def test_drifting_csv_headers(spark, tmp_path, rows):
         ("pobmun99.csv", "02", "b", "y", "6", None)]
 
 
+def test_drifting_csv_quotes_two_meanings_and_bad_lines(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('CPRO,"Ambos, sexos",Varones\n01,9,4\n02,5\n03,1,2,3\n')
+    (tmp_path / "b.csv").write_text("province,total\n04,1\n")
+    (tmp_path / "c.csv").write_text("province,total\n05,1\nSoria,2\n")
+    (tmp_path / "d.csv").write_text("")
+    got = csvs.read_drifting_csv(spark, str(tmp_path))
+    assert rows(csvs.good_rows(got), "source_file", "province_code", "province_name", "population_male") == [
+        ("a.csv", "01", None, "4"), ("b.csv", "04", None, None), ("c.csv", None, "05", None),
+        ("c.csv", None, "Soria", None)]
+    assert rows(csvs.bad_rows(got)) == [("a.csv", "02,5"), ("a.csv", "03,1,2,3")]
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "e.csv").write_text("")
+    assert csvs.read_drifting_csv(spark, str(tmp_path / "empty")).count() == 0
+
+
 def test_inventory_and_unprocessed(spark, tmp_path, rows):
     (tmp_path / "a.xls").write_bytes(b"x" * 1024 * 1024)
     (tmp_path / "b.txt").write_bytes(b"x")
