@@ -187,18 +187,22 @@ def components(classes: DataFrame, sets_of, percent: int) -> DataFrame:
     labels = keep_table(wanted.select("node", F.col("node").alias("label")), "labels")
     tested = None
     for n in range(STAR_ROUNDS + 1):
+        # only buckets that are not yet in one component go on, with their centre of this round
         held = buckets.join(labels, "node")
-        apart = held.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                           F.min_by(F.struct("node", "label", "n_shingles"), F.struct(
-                                               F.xxhash64("node", F.lit(n)), "node")).alias("centre"))
-        apart = apart.filter("low <> high")
+        apart = (held.groupBy("bucket").agg(
+            F.min("label").alias("low"), F.max("label").alias("high"),
+            F.min_by(F.struct("node", "label", "n_shingles"), F.struct(F.xxhash64("node", F.lit(n)), "node"))
+            .alias("centre")).filter("low <> high").select("bucket", "centre"))
+        held = keep_table(held.join(apart, "bucket"), "held")
+        if held.isEmpty():
+            break
+        buckets = held.select("node", "n_shingles", "bucket")
         if n < STAR_ROUNDS:
             near = similar_size("n_shingles", "centre.n_shingles", percent)
-            pairs = (held.join(apart.select("bucket", "centre"), "bucket")
-                     .filter((F.col("label") != F.col("centre.label")) & near)
+            pairs = (held.filter((F.col("label") != F.col("centre.label")) & near)
                      .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")))
         else:
-            pairs = across(held.join(apart.select("bucket"), "bucket"), percent)
+            pairs = across(held.drop("centre"), percent)
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
