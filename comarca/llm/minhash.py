@@ -3,7 +3,8 @@
 One permutation scatters the shingle hashes, a second one, read from a start that moves on by
 one place per coordinate, gives all signature coordinates.  Bands of coordinates are the
 buckets.  Documents with equal shingle sets are one class with one representative, so copies
-cost nothing further.  In every bucket the members are compared with one centre per round;
+cost nothing further.  In every bucket the members are compared with one centre per round, the most central first
+(it shares the largest buckets);
 members that a link already joins are not compared again, and what is still apart after the
 rounds is compared pair by pair, but only across components.  Links are confirmed on full
 shingle sets, and components grow by label propagation in Spark.
@@ -180,8 +181,11 @@ def similar_size(a: str, b: str, percent: int):
 def components(classes: DataFrame, sets_of, percent: int) -> DataFrame:
     """(node, label): label is the smallest node of the component of a class."""
     buckets = classes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = keep_table(buckets.join(shared, "bucket"), "buckets")
+    # a text from which others were made shares more bands than these do with each other
+    central = buckets.groupBy("node").agg(F.sum("n").alias("central"))
+    buckets = keep_table(buckets.drop("n").join(central, "node").withColumn("was", F.lit(False)), "buckets")
     wanted = buckets.select("node").distinct()
     sets = keep_table(sets_of(wanted), "sets")
     labels = keep_table(wanted.select("node", F.col("node").alias("label")), "labels")
@@ -189,14 +193,17 @@ def components(classes: DataFrame, sets_of, percent: int) -> DataFrame:
     for n in range(STAR_ROUNDS + 1):
         # only buckets that are not yet in one component go on, with their centre of this round
         held = buckets.join(labels, "node")
+        # the most central member, of those that have not been centres before
+        choice = F.struct(~F.col("was"), "central", "node")
         apart = (held.groupBy("bucket").agg(
             F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min_by(F.struct("node", "label", "n_shingles"), F.struct(F.xxhash64("node", F.lit(n)), "node"))
-            .alias("centre")).filter("low <> high").select("bucket", "centre"))
+            F.max_by(F.struct("node", "label", "n_shingles"), choice).alias("centre"))
+            .filter("low <> high").select("bucket", "centre"))
         held = keep_table(held.join(apart, "bucket"), "held")
         if held.isEmpty():
             break
-        buckets = held.select("node", "n_shingles", "bucket")
+        buckets = held.select("node", "n_shingles", "bucket", "central",
+                              (F.col("was") | (F.col("node") == F.col("centre.node"))).alias("was"))
         if n < STAR_ROUNDS:
             near = similar_size("n_shingles", "centre.n_shingles", percent)
             pairs = (held.filter((F.col("label") != F.col("centre.label")) & near)
