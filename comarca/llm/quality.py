@@ -190,5 +190,6 @@ def score_documents(df: DataFrame, ensemble: RuleEnsemble, key: str = "doc_id",
 
 def keep_good(df: DataFrame, ensemble: RuleEnsemble, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``df`` with a score of at least ``threshold``, all their columns unchanged."""
-    rows, names = with_statistics(df, text)
-    return rows.filter(ensemble.score() >= threshold).drop(*names)
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_whole"), F.col(f"`{text}`").alias("_text"))
+    rows, _ = with_statistics(whole, "_text")
+    return rows.filter(ensemble.score() >= threshold).select("_whole.*")
