@@ -3,28 +3,36 @@
 Equal vectors are one node.  Every node starts with the nearest of two random blocks.  In each
 round a node's neighbours and a sample of the nodes that have it as neighbour (that sample is
 part of NN-descent) are joined with their vectors and compared with each other: neighbours of
-neighbours become candidates, and each node keeps its ``DEGREE`` nearest.  A query walks the
+neighbours become candidates, and each node keeps its ``DEGREE`` nearest.  Rounds go on until
+at most ``CONVERGED`` of the edges are new.  A query walks the
 graph from its own node: its nearest unexpanded nodes are joined with their neighbours, round
-by round, until the ``BEAM`` nearest nodes seen have all been expanded.  Distances of what was
-found are computed again in double precision.
+by round, until the ``BEAM`` nearest nodes seen have all been expanded.  The true nearest of a
+few queries are found by brute force; while less than ``RECALL`` of them has been seen, all
+queries go on with a beam of twice the size.  Distances of what was found are computed again in
+double precision.
 """
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comarca.llm.common import keep_table, salt
 
-DEGREE, REVERSE, ROUNDS = 20, 20, 5
-#: Candidates that a node gets from one local join.
-OFFERS = 6
+DEGREE, REVERSE = 20, 20
+#: Share of new edges under which the graph counts as converged.
+CONVERGED = 0.001
 #: Vectors in a random starting block, and groups of a local join in one task call.
 BLOCK, GROUPS = 64, 400
 #: Search: nodes kept as the current best, nodes expanded per round, neighbours of a node
 #: (its own and the nearest of those that point to it).
 BEAM, EXPAND, SEARCH_DEGREE = 256, 48, 60
+#: Queries that are compared with brute force, and the share of their nearest to be seen.
+CHECKED, RECALL = 64, 0.95
 
 
 def usable(vector: Column) -> Column:
@@ -104,16 +112,19 @@ def starting_edges(nodes: DataFrame, degree: int) -> DataFrame:
         run, "node long, other long, d float").distinct()
 
 
-def offered_edges(graph: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+def offered_edges(graph: DataFrame, nodes: DataFrame, size: int, degree: int) -> DataFrame:
     """Candidates of one round: for both ends of every pair of neighbours of a node, where one of
-    the two is new to it and the pair is nearer than the farthest neighbour so far."""
+    the two is new to it and the pair is nearer than the farthest neighbour so far.  A local join
+    offers ``degree`` to a node: of more, none could stay."""
     pointing = (graph.select(F.col("other").alias("hub"), F.col("node").alias("member"), "new")
                 .withColumn("rank", F.row_number().over(Window.partitionBy("hub").orderBy(
                     F.xxhash64("hub", "member"), "member")))
                 .filter(F.col("rank") <= REVERSE).drop("rank"))
     around = (graph.select(F.col("node").alias("hub"), F.col("other").alias("member"), "new").unionByName(pointing)
               .groupBy("hub", "member").agg(F.max("new").alias("new")))
-    farthest = graph.groupBy("node").agg(F.max("d").alias("far"))
+    # a node with fewer neighbours than it may have takes any
+    farthest = graph.groupBy("node").agg(
+        F.when(F.count(F.lit(1)) >= degree, F.max("d")).otherwise(float("inf")).cast("float").alias("far"))
     known = nodes.join(farthest, "node", "left").withColumnRenamed("node", "member")
 
     def run(part: pa.Table) -> pa.Table:
@@ -125,7 +136,7 @@ def offered_edges(graph: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
         for a, b in zip([0, *cuts], [*cuts, len(hubs)], strict=True):
             d = _distances(x[a:b])
             d[~(new[a:b, None] | new[None, a:b]) | (d >= far[a:b, None])] = np.inf
-            row, column = _nearest(d, OFFERS)
+            row, column = _nearest(d, degree)
             out.append((names[a:b][row], names[a:b][column], d[row, column]))
         return _edges(*(np.concatenate(c) for c in zip(*out, strict=True)))
 
@@ -133,17 +144,18 @@ def offered_edges(graph: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
             .groupBy("chunk").applyInArrow(run, "node long, other long, d float").distinct())
 
 
-def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """Edges (node, other, d, new) to about the ``degree`` nearest; d is the squared distance."""
+def neighbour_graph(nodes: DataFrame, degree: int = DEGREE, rounds: int | None = None) -> DataFrame:
+    """Edges (node, other, d, new) to about the ``degree`` nearest; d is the squared distance.
+    Without ``rounds`` it ends when it has converged."""
     size = nodes.count()
     graph = keep_table(starting_edges(nodes, degree).withColumn("new", F.lit(True)), "graph")
-    for _ in range(rounds):
-        offers = offered_edges(graph, nodes, size).withColumn("new", F.lit(True))
+    for _ in itertools.count() if rounds is None else range(rounds):
+        offers = offered_edges(graph, nodes, size, degree).withColumn("new", F.lit(True))
         both = (graph.withColumn("new", F.lit(False)).unionByName(offers)
                 .groupBy("node", "other").agg(F.min("d").alias("d"), F.min("new").alias("new")))
         best = F.row_number().over(Window.partitionBy("node").orderBy("d", "other"))
         graph = keep_table(both.withColumn("rank", best).filter(F.col("rank") <= degree).drop("rank"), "graph")
-        if graph.filter("new").isEmpty():
+        if graph.filter("new").count() <= CONVERGED * degree * size:
             break
     return graph
 
@@ -154,9 +166,35 @@ def squared(a: Column, b: Column, kind: str) -> Column:
                        lambda s, x: (s + x * x).cast(kind))
 
 
+def true_nearest(queries: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(query, node): the ``k`` nearest other nodes of ``CHECKED`` queries, by brute force."""
+    chosen = queries.orderBy(F.xxhash64("query"), "query").limit(CHECKED).collect()  # bounded
+    asked = np.array([r["vector"] for r in chosen], np.float32)
+    names, own = np.array([r["query"] for r in chosen]), np.array([r["node"] for r in chosen])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            others, x = batch["node"].to_numpy(), _matrix(pa.chunked_array([batch["vector"]]))
+            d = np.stack([np.einsum("ij,ij->i", x - a, x - a) for a in asked])
+            d[own[:, None] == others] = np.inf
+            row, column = _nearest(d, k)
+            yield _edges(names[row], others[column], d[row, column]).rename_columns(
+                ["query", "node", "d"]).combine_chunks().to_batches()[0]
+
+    if not chosen:
+        return queries.select("query", "node").limit(0)
+    best = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
+    return keep_table(nodes.mapInArrow(run, "query long, node long, d float").withColumn("rank", best)
+                      .filter(F.col("rank") <= k).select("query", "node"), "truth")
+
+
 def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = BEAM,
-           expand: int = EXPAND) -> DataFrame:
+           expand: int = EXPAND, k: int = 10) -> DataFrame:
     """Nodes seen by each query: (query, node, d).  ``queries`` has (query, node, vector)."""
+    truth, size = true_nearest(queries, nodes, k), nodes.count()
+    wanted = truth.count()
     near = F.row_number().over(Window.partitionBy("node").orderBy("d", "other"))
     both = graph.select("node", "other", "d").unionByName(
         graph.select(F.col("other").alias("node"), F.col("node").alias("other"), "d")).distinct()
@@ -173,7 +211,10 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = B
         ranked = keep_table(ranked, "search")
         front = ranked.filter("go").select("query", "node")
         if front.isEmpty():
-            return state
+            if beam >= size or truth.join(state, ["query", "node"]).count() >= RECALL * wanted:
+                return state
+            beam, expand = 2 * beam, 2 * expand
+            continue
         reached = (front.join(links, "node").select("query", F.col("other").alias("node")).distinct()
                    .join(ranked.select("query", "node"), ["query", "node"], "left_anti")
                    .join(nodes, "node").join(asked, "query")
@@ -183,7 +224,7 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = B
 
 
 def nearest(df: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embedding", every: int = 100,
-            beam: int = BEAM, rounds: int = ROUNDS) -> DataFrame:
+            beam: int = BEAM, rounds: int | None = None) -> DataFrame:
     """For each row whose key is divisible by ``every``: its ``k`` nearest other rows.
 
     Returns query_id, rank (from 1), the key, score (Euclidean distance in double precision);
@@ -199,7 +240,7 @@ def nearest(df: DataFrame, k: int = 10, key: str = "vec_id", vector: str = "embe
     named = nodes.withColumn("h1", F.xxhash64("vector")).withColumn("h2", F.xxhash64(F.lit(1), "vector"))
     queries = keep_table(asked.join(named.select("h1", "h2", "node"), ["h1", "h2"])
                          .select(F.col("id").alias("query"), "node", "vector"), "queries")
-    seen = search(queries, graph, nodes, beam)
+    seen = search(queries, graph, nodes, beam, k=k)
     best = F.row_number().over(Window.partitionBy("query").orderBy("d", "node"))
     short = seen.withColumn("rank", best).filter(F.col("rank") <= 2 * k + 2).select("query", "node")
     scored = (short.join(nodes, "node").join(queries.select("query", F.col("vector").alias("asked")), "query")

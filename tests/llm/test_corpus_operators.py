@@ -266,6 +266,20 @@ def test_nearest_with_copies_and_unusable_vectors(spark):
     assert [(r.vec_id, r.rank) for r in nn_descent.nearest(few).orderBy("rank").collect()] == [(2, 1), (1, 2)]
 
 
+def test_nearest_goes_on_until_converged_and_wide_enough(spark):
+    rng = np.random.default_rng(4)
+    rows = list(enumerate(rng.normal(size=(3000, 64)).astype(np.float32).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    nodes = nn_descent.keep_table(df.toDF("node", "vector"), "nodes")
+    graph = nn_descent.neighbour_graph(nodes)
+    assert graph.filter("new").count() <= 0.001 * 20 * 3000
+    queries = nodes.filter("node % 100 = 0").withColumn("query", F.col("node"))
+    seen = nn_descent.search(queries, graph, nodes, beam=4).select("query", "node").collect()
+    want = nearest_by_hand(rows, 10, 100)
+    pairs = {(r.query, r.node) for r in seen}
+    assert sum((q, i) in pairs for q, near in want.items() for _, i in near) >= 0.95 * 300
+
+
 # the pipeline -------------------------------------------------------------------------------
 
 def test_pipeline_stages_one_by_one(spark, sf_dir, tmp_path):
