@@ -3,7 +3,9 @@
 Every page names the container that scores best in it, as a path of tags and generalised
 classes.  The pages of a host vote in Spark; paths with a tenth of the votes win (so a host
 has ten at most).  Then each page is extracted again with the winning path of most votes
-that it has; a page that has none of them keeps its own choice.
+that it has; a page that has none of them keeps its own choice.  The text is that of all nodes
+on the path, each widened to its article (or main element), and the text above them that is in
+no container beside them.
 """
 
 from __future__ import annotations
@@ -23,11 +25,15 @@ from comarca.operators.joins import lookup_join
 WINNING_SHARE = 0.1
 #: What a container gets of the text of a container inside it, per step.
 DECAY = 0.7
+#: Share of a page's unlinked text up to which a block with a dropped word among others in a
+#: class name is dropped; a block with more is a layout.
+LITTLE = 0.5
 
 # Names of HTML elements and of what is no part of an article.
 BLOCKS = frozenset("""address article aside blockquote body canvas caption center dd details dialog dir div dl dt
     fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol
     optgroup option p pre search section summary table tbody td tfoot th thead title tr ul""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("article body div main section td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea noscript iframe template xmp title".split())
@@ -64,7 +70,7 @@ class Node:
 @dataclass
 class Page:
     nodes: list[Node] = field(default_factory=list)
-    segments: list[tuple[int, str]] = field(default_factory=list)  # node, text of a block
+    segments: list[tuple[int, str, int]] = field(default_factory=list)  # node, text of a block, worth
 
     def best(self) -> int:
         """The container that scores best; of equal ones the first."""
@@ -75,9 +81,60 @@ class Page:
         found = [i for i, n in enumerate(self.nodes) if n.path == path and not n.dropped and n.score > 0]
         return max(found, key=lambda i: (self.nodes[i].score, -i), default=None)
 
+    def above(self, node: int) -> Iterator[int]:
+        """A node and its ancestors."""
+        while node >= 0:
+            yield node
+            node = self.nodes[node].parent
+
+    def whole(self, node: int) -> int:
+        """The outermost article around a node, else the outermost main element, else the node."""
+        for tag in ("article", "main"):
+            if found := [i for i in self.above(node) if self.nodes[i].tag == tag]:
+                return found[-1]
+        return node
+
     def text(self, container: int) -> str:
-        end = self.nodes[container].end
-        return " ".join(text for node, text in self.segments if container <= node <= end)
+        path = self.nodes[container].path
+        parts = {self.whole(i) for i, n in enumerate(self.nodes)
+                 if i == container or n.path == path and not n.dropped and n.score > 0}
+        over = {i for part in parts for i in self.above(part)}
+
+        def belongs(node: int, worth: int) -> bool:
+            chain = list(self.above(node))
+            if not parts.isdisjoint(chain):
+                return True
+            # text of an ancestor, in no other container
+            holder = next(i for i in chain if not i or self.nodes[i].tag in CONTAINERS)
+            loose = self.nodes[holder].tag in ("", "body")
+            return worth > 0 and holder in over and (not loose or self.nodes[node].tag in HEADINGS | {"p"})
+
+        return " ".join(text for node, text, worth in self.segments if belongs(node, worth))
+
+    def drop_suspects(self, suspects: list[int]) -> None:
+        """Drop suspects with little or mostly linked text, and what is inside them."""
+        all_ = sum(worth for _, _, worth in self.segments)
+        for i in suspects:
+            inside = sum(worth for node, _, worth in self.segments if i <= node <= self.nodes[i].end)
+            if inside <= LITTLE * all_:
+                for node in self.nodes[i:self.nodes[i].end + 1]:
+                    node.dropped = True
+        self.segments = [x for x in self.segments if not self.nodes[x[0]].dropped]
+
+    def count(self) -> None:
+        """Scores of the containers."""
+        for at, _, score in self.segments:
+            first = True
+            for node in map(self.nodes.__getitem__, self.above(at)):
+                if node.tag in CONTAINERS or node.parent < 0:
+                    score *= 1 if first else DECAY
+                    node.score += score
+                    first = False
+        for node in self.nodes:
+            if node.tag in ("article", "main"):
+                node.score *= 1.5
+            elif node.tag in ("", "body"):
+                node.score *= DECAY
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -92,7 +149,7 @@ def parse(source: str) -> Page:
     """Blocks and scored containers.  Never fails: what is no mark-up is text, open elements
     end with the page, end tags without a start are ignored."""
     page = Page([Node("", "", -1, False, False)])
-    stack, pieces, linked = [0], [], [0, False]
+    stack, pieces, linked, suspects = [0], [], [0, False], []
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
@@ -100,16 +157,7 @@ def parse(source: str) -> Page:
         links, linked[0] = linked[0], 0
         if not text:
             return
-        at = stack[-1]
-        page.segments.append((at, text))
-        score, first = max(0, len(text) - 2 * links), True
-        while at >= 0:
-            node = page.nodes[at]
-            if node.tag in CONTAINERS or at == 0:
-                score *= 1 if first else DECAY
-                node.score += score
-                first = False
-            at = node.parent
+        page.segments.append((stack[-1], text, max(0, len(text) - 2 * links)))
 
     def say(text: str) -> None:
         if not page.nodes[stack[-1]].dropped:
@@ -163,23 +211,23 @@ def parse(source: str) -> Page:
             close(len(stack) - 1)
         given, parent = attributes(m[3]), page.nodes[stack[-1]]
         names = sorted(given.get("class", "").lower().split())
-        words = set(re.split(r"[^a-z]+", " ".join([*names, given.get("id", "").lower()])))
+        words = [set(re.findall("[a-z]+", n)) for n in [*names, given.get("id", "").lower()]]
         inside = parent.inside or tag in ("article", "main")
         drops = (parent.dropped or drops or given.get("role", "").lower() in DROPPED_ROLES
-                 or tag == "header" and not inside
-                 or tag not in ("html", "body", "main") and bool(words & DROPPED_WORDS)
-                 and not (tag == "header" and inside))
+                 or tag == "header" and not inside)
+        if not drops and tag not in ("html", "body", "main", "header"):
+            drops = any(w and w <= DROPPED_WORDS for w in words)
+            if not drops and any(w & DROPPED_WORDS for w in words):
+                suspects.append(len(page.nodes))
         step = ".".join([tag, *(re.sub(r"\d+", "#", n) for n in names)])
         page.nodes.append(Node(tag, f"{parent.path}/{step}", stack[-1], drops, inside))
         stack.append(len(page.nodes) - 1)
     say(UNFINISHED.sub("", source[at:]))
     flush()
     close(0)
-    for node in page.nodes:
-        if node.tag in ("article", "main"):
-            node.score *= 1.5
-        elif node.tag in ("", "body"):
-            node.score *= DECAY
+    if suspects:
+        page.drop_suspects(suspects)
+    page.count()
     return page
 
 

@@ -156,6 +156,24 @@ def test_pages_follow_the_consensus_of_their_host(spark):
     assert got[51].startswith("a longer block")
 
 
+BODY = "body words go on. " * 60
+WHOLE = [
+    (f"<article><h1>Head</h1><p>Lead.</p><div><div>{BODY}</div></div></article>", f"Head Lead. {BODY}"),
+    (f"<div><h1>Head</h1><div>{BODY}</div></div>", f"Head {BODY}"),
+    (f"<article><div><section>{BODY * 3}</section><section>{BODY}end</section></div></article>", f"{BODY * 4}end"),
+    (f'<div><section class="s">{BODY * 3}</section><section class="s">{BODY}end</section></div>', f"{BODY * 4}end"),
+    (f'<div class="has-sidebar"><div class="content">{BODY}</div></div><div class="left-sidebar">Side</div>', BODY),
+    (f'<article>{BODY}<div class="share-links"><a href="x">tell others</a></div></article>', BODY),
+]
+
+
+def test_pages_keep_what_is_around_their_best_container(spark):
+    rows = [(i, f"http://w{i}.com/{k}", f"<html><body>{h}</body></html>") for i, (h, _) in enumerate(WHOLE) for k in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in html_text.extract_text(df).collect())
+    assert got == [(i, t.strip()) for i, (_, t) in enumerate(WHOLE) for _ in range(3)]
+
+
 def test_pages_query(spark, sf_dir):
     got = QUERIES["op8_host_consensus"](spark, sf_dir).collect()
     assert len(got) == 50 and all(r.n_chars == len(r.text) for r in got)
