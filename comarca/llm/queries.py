@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from comarca.llm import bpe, chat, exact_dedup, html_text, minhash, nn_descent, packing, quality, substring_dedup, url_rules
+from comarca.llm import (bit_sliced, bpe, chat, chat_repair, exact_dedup, filter_audit, html_text, minhash, nn_descent,
+                         packing, quality, substring_dedup, url_rules)
 from comarca.llm.common import table
 
 
@@ -53,6 +54,18 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_audit_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_scores(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rule_ensemble": op1_rule_ensemble,
     "op2_chat_snapshots": op2_chat_snapshots,
@@ -64,4 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_consensus": op8_host_consensus,
     "op9_nn_descent": op9_nn_descent,
     "op10_url_rules": op10_url_rules,
+    "op11_audit_paths": op11_audit_paths,
+    "op12_bit_sliced": op12_bit_sliced,
+    "op13_filter_lattice": op13_filter_lattice,
 }
