@@ -528,6 +528,23 @@ def csv_roundtrip(spark, sf):
         F.countDistinct("province_code", "cmun").alias("places"))
 
 
+@query
+def csv_records(spark, sf):
+    """CSVs whose cells hold line breaks, with short and untyped records among the good ones."""
+    rows, folder = derive(spark, sf, "remarks"), new_folder(spark, "csv-records")
+    quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    # the first line of every file; a header that turns up again is no data
+    head = F.when(F.monotonically_increasing_id() % (1 << 33) == 0, "key,cents,remark\n").otherwise("")
+    text_line = F.concat_ws(",", F.when(col("o_orderkey") % 50 == 7, "no number")
+                            .otherwise(col("o_orderkey").cast("string")),
+                            col("cents"), F.when(col("remark").isNull(), "").when(
+                                col("o_orderkey") % 8 == 4, col("remark")).otherwise(quote(col("remark"))))
+    short = F.when(col("o_orderkey") % 50 == 9, col("o_orderkey").cast("string")).otherwise(text_line)
+    rows.select(F.concat(head, short).alias("value")).write.text(folder)
+    return csvs.read_csv(spark, folder, "key bigint, cents bigint, remark string").select(
+        "key", "cents", "remark", F.col(csvs.CORRUPT).alias("bad_record"))
+
+
 @query
 def consolidate_month(spark, sf):
     both = [derive(spark, sf, f"raw_{k}").select(

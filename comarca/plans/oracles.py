@@ -690,6 +690,14 @@ ORACLES["csv_roundtrip"] = body(["raw_population"], {}, """
 SELECT data_year, count(*) AS n, count(population_total) AS n_total,
   sum(population_total) AS population_total, count(DISTINCT province_code || '/' || cmun) AS places
 FROM raw_population GROUP BY 1""")
+ORACLES["csv_records"] = body(["remarks"], {
+    "t": """SELECT *, o_orderkey % 50 = 7 AS untyped, o_orderkey % 50 = 9 AS short,
+  CASE WHEN remark IS NULL THEN '' WHEN o_orderkey % 8 = 4 THEN remark
+    ELSE '"' || replace(remark, '"', '""') || '"' END AS cell FROM remarks"""}, """
+SELECT CASE WHEN NOT untyped THEN o_orderkey END AS key, CASE WHEN NOT short THEN cents END AS cents,
+  CASE WHEN NOT short THEN remark END AS remark,
+  CASE WHEN short THEN CAST(o_orderkey AS VARCHAR) WHEN untyped THEN 'no number,' || CAST(cents AS VARCHAR) || ',' || cell
+    END AS bad_record FROM t""")
 ORACLES["consolidate_month"] = body(["raw_unemployment", "raw_contracts"], {}, """
 SELECT 'unemployment' AS data_type, year, month, count(*) AS records, sum(total_unemployment) AS total
 FROM raw_unemployment GROUP BY 1, 2, 3

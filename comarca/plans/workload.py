@@ -229,6 +229,12 @@ RELATIONS: dict[str, str] = {
       || CAST(page_id % 19 AS STRING) || '</b></td><td> ' || url
       || ' </td></tr><TR><td>x</td><td></td></TR></table>' AS html
   FROM {pages}""",
+    # order remarks whose cells hold separators, quotes and line breaks
+    "remarks": """SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, CASE CAST(o_orderkey % 8 AS INT)
+      WHEN 0 THEN o_orderpriority || chr(10) || o_orderstatus WHEN 1 THEN o_orderpriority || ', "' || o_orderstatus || '"'
+      WHEN 2 THEN NULL WHEN 3 THEN '"' || chr(10) || chr(10) || ',' WHEN 4 THEN o_orderstatus || ' 5" x'
+      ELSE o_orderpriority END AS remark
+  FROM {orders}""",
     "headers": """SELECT p_partkey, CAST(floor(p_partkey / 12) AS BIGINT) AS file_no,
     CAST(p_partkey % 12 AS INT) AS pos, CASE CAST(p_partkey % 23 AS INT)
       WHEN 0 THEN 'CPRO' WHEN 1 THEN 'pob' || lpad(CAST(p_size AS STRING), 2, '0')

@@ -1,6 +1,8 @@
 """Scans, pages, sinks and the stream."""
 
+import csv
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +82,61 @@ def test_drifting_csv_quotes_two_meanings_and_bad_lines(spark, tmp_path, rows):
     assert csvs.read_drifting_csv(spark, str(tmp_path / "empty")).count() == 0
 
 
+def by_reader(path):
+    """Rows of Python's own CSV reader below the header."""
+    with open(path, newline=None, encoding="utf-8") as f:
+        return [tuple(c or None for c in r) for r in list(csv.reader(f))[1:] if r]
+
+
+@pytest.mark.parametrize("split", ["128m", "150b"])
+def test_csv_cells_with_line_breaks_over_splits(spark, tmp_path, rows, split):
+    draw = random.Random(8)
+    pieces = ["x", "\n", '"', ",", "y y", "\n\n", "ñ", "", "k,v"]
+    for name in "abc":
+        with open(tmp_path / f"{name}.csv", "w", encoding="utf-8", newline="") as f:
+            out = csv.writer(f, lineterminator="\n")
+            out.writerow(["k", "v"])
+            for k in range(40):
+                out.writerow([k, "".join(draw.choices(pieces, k=draw.randint(0, 5)))])
+    (tmp_path / "plain.csv").write_text("v,k\np,1\n\nq,2\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = csvs.read_csv(spark, str(tmp_path), "k int, v string")
+        assert csvs.bad_rows(got).count() == 0
+        want = [(int(k), v, f"{n}.csv") for n in "abc" for k, v in by_reader(tmp_path / f"{n}.csv")]
+        assert rows(got, "k", "v", "source_file") == sorted(
+            [*want, (1, "p", "plain.csv"), (2, "q", "plain.csv")], key=lambda r: tuple((v is None, str(v)) for v in r))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_of_stray_and_open_quotes(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('k,v\n1,5" pipe\n2,"a\nb"\n3,it\'s 3"x4\n4,""\n')
+    (tmp_path / "b.csv").write_text('k,v\n1,"never closed\n2,x\n3,y\n')  # odd: line by line
+    (tmp_path / "c.csv").write_text('k,v\n1,"open\n' + "2,x\n" * 20 + '3,"open again\n4,z\n')
+    df = csvs.read_csv(spark, str(tmp_path), "k int, v string")
+    good, bad = csvs.good_rows(df), csvs.bad_rows(df)
+    assert rows(good.where("source_file = 'a.csv'"), "k", "v") == [
+        (1, '5" pipe'), (2, "a\nb"), (3, 'it\'s 3"x4'), (4, None)]
+    assert rows(good.where("source_file = 'b.csv'"), "k", "v") == [(2, "x"), (3, "y")]
+    assert rows(bad.where("source_file = 'b.csv'"), csvs.CORRUPT) == [('1,"never closed',)]
+    assert rows(good.where("source_file = 'c.csv'"), "k", "v") == [(4, "z")]
+    assert bad.where("source_file = 'c.csv'").count() == 1
+    short = csvs.records(spark, str(tmp_path / "c.csv"), max_lines=10)
+    assert short.count() == 24  # a record of 22 lines is left as lines
+
+
+def test_csv_line_of_a_hundred_thousand_quoted_cells(spark, tmp_path):
+    n = 100_000
+    (tmp_path / "wide.csv").write_text(",".join(f"c{i}" for i in range(n)) + "\n"
+                                       + ",".join(f'"a ""{i}"", b"' for i in range(n)) + "\n")
+    row = csvs.read_csv(spark, str(tmp_path), f"c0 string, c{n - 1} string").collect()
+    assert [tuple(r)[:3] for r in row] == [('a "0", b', f'a "{n - 1}", b', None)]
+
+
 def test_inventory_and_unprocessed(spark, tmp_path, rows):
     (tmp_path / "a.xls").write_bytes(b"x" * 1024 * 1024)
     (tmp_path / "b.txt").write_bytes(b"x")
