@@ -196,8 +196,3 @@ SOURCE_REGISTRY = {
         "source_description": "Economic indicators by municipality",
     },
 }
-
-# Named character references of pages and what they stand for.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"),
-            ("&middot;", "\u00b7"), ("&aacute;", "\u00e1"), ("&eacute;", "\u00e9"), ("&iacute;", "\u00ed"),
-            ("&oacute;", "\u00f3"), ("&uacute;", "\u00fa"), ("&ntilde;", "\u00f1"), ("&amp;", "&"))

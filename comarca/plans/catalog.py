@@ -458,6 +458,18 @@ def html_table_rows(spark, sf):
     return web.html_table_rows(derive(spark, sf, "stat_pages"))
 
 
+@query
+def odd_page_links(spark, sf):
+    """Links of pages with comments, scripts, brackets in attributes and references in addresses."""
+    return web.page_links(derive(spark, sf, "odd_pages"))
+
+
+@query
+def odd_page_tables(spark, sf):
+    """Cells of open, nested and spanning tables."""
+    return web.html_table_rows(derive(spark, sf, "odd_pages"))
+
+
 @query
 def file_inventory(spark, sf):
     return files.file_inventory(spark, sf, "*.parquet").select("filename", "size_mb")

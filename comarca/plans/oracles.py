@@ -666,6 +666,16 @@ SELECT page_id, r AS row_no, c AS col_no, CASE c WHEN 0 THEN 'CODAUTO' ELSE 'Nom
   CASE WHEN r = 1 AND c = 0 THEN CAST(page_id % 19 AS VARCHAR) WHEN r = 1 THEN url
     WHEN c = 0 THEN 'x' ELSE '' END AS value
 FROM pages, (VALUES (1, 0), (1, 1), (2, 0), (2, 1)) t(r, c)"""
+ORACLES["odd_page_links"] = """
+SELECT page_id, '/n/' || CAST(page_id AS VARCHAR) || '.html?a=1&b=' || chr(8364) || chr(252) AS href FROM pages
+UNION ALL SELECT page_id, '/m/bare.xls' FROM pages WHERE page_id % 3 = 0
+UNION ALL SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) FROM pages WHERE page_id % 5 = 1"""
+ORACLES["odd_page_tables"] = """
+WITH t(kind, col_no, header, value) AS (VALUES
+  (0, 0, 'wide', chr(8211)), (0, 1, 'wide', 'in ner'), (0, 2, 'last', 'c'),
+  (1, 0, 'wide', 'a'), (1, 1, 'wide', 'b' || chr(160) || 'c'), (1, 2, 'last', 'b' || chr(160) || 'c'),
+  (2, 0, 'wide', '1 < 2'), (2, 1, 'wide', chr(209) || '&notaname;'), (3, 0, 'wide', 'x'), (3, 1, 'wide', ''))
+SELECT page_id, 1 AS row_no, col_no, header, value FROM pages JOIN t ON page_id % 4 = kind"""
 ORACLES["unprocessed_inputs"] = body(["file_names", "raw_unemployment"], {"i": """
 SELECT DISTINCT file_name, CAST(split_part(file_name, '_', 1) AS INT) AS year,
     CAST(replace(split_part(file_name, '_', 2), '.xls', '') AS INT) AS month

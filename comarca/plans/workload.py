@@ -228,6 +228,17 @@ RELATIONS: dict[str, str] = {
       || '<table class="t"><tr><th>CODAUTO</th><th> Nombre </th></tr><tr></tr><tr><td><b>'
       || CAST(page_id % 19 AS STRING) || '</b></td><td> ' || url
       || ' </td></tr><TR><td>x</td><td></td></TR></table>' AS html
+  FROM {pages}""",
+    # pages with what trips up readers of tags: comments, scripts, brackets in attributes, open and nested tables
+    "odd_pages": """SELECT page_id, CASE WHEN page_id % 5 = 1 THEN html ELSE '' END || '<!-- <a href="no.xls">x</a><table><tr><td>no</td></tr></table> --><script>if (a<b) '
+      || 's = ''<a href="no.xls"><table>'';</script><p title="a>b <a href=''no.xls''>">p</p><a title="1>0" href="/n/'
+      || CAST(page_id AS STRING) || '.html?a=1&amp;b=&#8364;&uuml;">x</a>'
+      || CASE WHEN page_id % 3 = 0 THEN '<a data-href="no.xls" HREF = /m/bare.xls>y</a>' ELSE '' END
+      || '<TABLE class="a>b"><tr><th colspan="2">wide<th>last' || CASE CAST(page_id % 4 AS INT)
+        WHEN 0 THEN '<tr><td>&#x2013;<td><table><tr><td>in<td>ner</table><td>c'
+        WHEN 1 THEN '<tr><td>a</td> no <td colspan=2>b&nbsp;c</td></tr></table><table><tr><td>second</td></tr></table>'
+        WHEN 2 THEN '<tr></tr><tr><td>1 < 2<!-- no --></td><td>&Ntilde;&notaname;</td>'
+        ELSE '<tr><td colspan=0>x<td></table><p>no' END AS html
   FROM {pages}""",
     # order remarks whose cells hold separators, quotes and line breaks
     "remarks": """SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, CASE CAST(o_orderkey % 8 AS INT)

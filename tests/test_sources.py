@@ -162,6 +162,27 @@ def test_pages(spark, rows):
     assert rows(web.html_table_rows(pages)) == [(5, 1, 0, "a", "1"), (5, 1, 1, "b", ""), (5, 1, 2, None, "3")]
 
 
+def test_pages_of_odd_markup(spark, rows):
+    deep = "<table>" * 300 + "x" + "</table>" * 300
+    pages = spark.createDataFrame([
+        (1, '<!-- <a href="no.xls"> --><a title="a>b" href="x.xls"><a\nclass=c\thref=\'y.xls\'><link/href=z data-href="no">'),
+        (2, '<a title=\'href="no"\' href = " /p?a&amp;b&#8364;&#x1F600;&uuml;&ccedil;&Ntilde;&#150;&#0;&#xD800;&amp " >'),
+        (3, "<table><tr><td>1<td>2<tr><td>3"),
+        (4, f"<table><tr><td>a<td>{deep}</td><td>c</td></tr><tr><td>b</table><table><tr><td>no"),
+        (5, "<a " + 'k="v>" ' * 30_000 + 'href="long">' + "<" * 2000 + "&" * 2000),
+        (6, None), (7, ""), (8, "<table>"), (9, "</table><p title=\"open>"),
+        (10, "<table><tr>" + "<td>x" * 3000 + "<tr>" + "<td colspan=3>y" * 1000)], "page_id int, html string")
+    links = {}
+    for page, href in rows(web.page_links(pages)):
+        links.setdefault(page, set()).add(href)
+    assert links == {1: {"x.xls", "y.xls", "z"}, 5: {"long"},
+                     2: {"/p?a&b\u20ac\U0001f600\u00fc\u00e7\u00d1\u2013\ufffd\ufffd&amp"}}
+    cells = rows(web.html_table_rows(pages.where("page_id <> 10")))
+    assert cells == [(3, 1, 0, "1", "3"), (4, 1, 0, "a", "b")]
+    wide = web.html_table_rows(pages.where("page_id = 10"))
+    assert wide.where("header = 'x' and value = 'y'").count() == 3000
+
+
 def test_lineage(spark):
     df = lineage.stamp(spark.range(1), "economy", F.lit("f.csv"))
     row = df.first()
