@@ -601,19 +601,33 @@ def materialize_layers(spark, sf):
 
 @query
 def incremental_upsert(spark, sf):
-    """Mart up to 2000, then an incremental run: equals a full build."""
+    """Mart up to 2000, then an incremental run that has a new column and lacks an old one."""
     # both inputs are stored tables in a real pipeline
     people, work = freeze(_trends(spark, sf)), freeze(_yearly(spark, sf))
     first, last = RATE_YEARS
     folder = new_folder(spark, "rates")
-    tables.overwrite_partitions(marts.unemployment_rates(people, work, (first, last - 1)),
-                                folder, "data_year")
-    target = spark.read.parquet(folder)
-    start = tables.refresh_start(target, "data_year", first)
-    batch = marts.unemployment_rates(people, work, RATE_YEARS, since=start)
+    built = marts.unemployment_rates(people, work, (first, last - 1)).withColumn("draft", F.lit("first"))
+    tables.store_partitions(built, folder, "data_year")
+    start = tables.refresh_start(tables.read_stored(spark, folder), "data_year", first)
+    batch = marts.unemployment_rates(people, work, RATE_YEARS, since=start).withColumn("revision", F.lit(2))
     for _ in range(2):  # a run that is repeated changes nothing
         tables.merge_partitions(batch, folder, PLACE_YEAR, "data_year")
-    return spark.read.parquet(folder).select(*batch.columns)
+    return tables.read_stored(spark, folder)
+
+
+@query
+def stored_merge_moves(spark, sf):
+    """A stored table keyed without its partition: rows of 2000 move to 2002, one column changes its type."""
+    pop = _population(spark, sf).select(*PLACE_YEAR, "population_total")
+    place = F.concat_ws("/", "province_code", "municipality_code", "data_year").alias("place")
+    rows = freeze(pop.select(place, "data_year", col("population_total").cast("int").alias("total")))
+    folder = new_folder(spark, "moves")
+    tables.store_partitions(rows, folder, "data_year")
+    moved = rows.where("data_year = 2000").select("place", F.lit(2002).alias("data_year"), (
+        col("total").cast("bigint") * 10).alias("total"))
+    for _ in range(2):
+        tables.merge_partitions(moved, folder, ["place"], "data_year")
+    return tables.read_stored(spark, folder)
 
 
 @query

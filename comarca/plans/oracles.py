@@ -319,7 +319,17 @@ SELECT municipality_code, municipality_name, province_code, autonomous_community
   {level('unemployment_rate', 'no_data')} AS unemployment_category, {HEALTH} AS socioeconomic_health,
   {quadrant("'stable'")} AS socioeconomic_pattern, population_trend, unemployment_trend,
   data_coverage_quality FROM rated""")
-ORACLES["incremental_upsert"] = ORACLES["rates_mart"]
+ORACLES["incremental_upsert"] = body(ALL_NEEDS, {**mart(0), "built": f"""
+SELECT municipality_code, municipality_name, province_code, autonomous_community_code, data_year,
+  total_population, primary_total_unemployment, unemployment_rate, population_change_pct,
+  unemployment_change_pct, prev_year_unemployment_rate, unemployment_rate_change,
+  {level('unemployment_rate', 'no_data')} AS unemployment_category, {HEALTH} AS socioeconomic_health,
+  {quadrant("'stable'")} AS socioeconomic_pattern, population_trend, unemployment_trend,
+  data_coverage_quality FROM rated"""}, "SELECT *, CASE WHEN data_year >= 1999 THEN 2 END AS revision FROM built")
+ORACLES["stored_merge_moves"] = body(POP_NEEDS, POP, """
+SELECT CAST(province_code AS VARCHAR) || '/' || coalesce(CAST(municipality_code AS VARCHAR) || '/', '')
+    || CAST(data_year AS VARCHAR) AS place, CASE WHEN data_year = 2000 THEN 2002 ELSE data_year END AS data_year,
+  CAST(population_total AS BIGINT) * CASE WHEN data_year = 2000 THEN 10 ELSE 1 END AS total FROM population""")
 ORACLES["socioeconomic_mart"] = body(ALL_NEEDS, mart(1), f"""
 SELECT municipality_code, municipality_name, province_code, autonomous_community_code, data_year,
   true AS has_demographic_data, true AS has_employment_data, data_coverage_quality, total_population,

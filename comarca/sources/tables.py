@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from comarca.session import freeze
 
@@ -111,20 +116,86 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
      .partitionBy(partition).parquet(path))
 
 
-def merge_partitions(batch: DataFrame, path: str, keys: list[str], partition: str) -> None:
-    """Upsert ``batch`` into the stored table at ``path``: rows with its keys are replaced.
+def _schema_folder(path: str) -> str:
+    return f"{path.rstrip('/')}/_schema"  # readers skip names that begin with an underscore
+
+
+def _record(spark: SparkSession, path: str, schema: StructType, dropped: list[str]) -> None:
+    said = json.dumps({"schema": schema.jsonValue(), "dropped": sorted(dropped)})
+    spark.createDataFrame([(said,)], "value string").coalesce(1).write.mode("overwrite").text(_schema_folder(path))
+
+
+def stored_schema(spark: SparkSession, path: str) -> tuple[StructType, list[str]]:
+    """Columns of a stored table, and those it once had."""
+    said = json.loads(spark.read.text(_schema_folder(path)).first()["value"])
+    return StructType.fromJson(said["schema"]), said["dropped"]
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table by its recorded schema: columns that older partitions lack are null, columns
+    it no longer has are not read."""
+    return spark.read.schema(stored_schema(spark, path)[0]).parquet(path)
+
 
-    Only the partitions that ``batch`` has rows for are read and written.  The merged rows
-    are computed into a folder of their own first, as a table cannot be read and overwritten
-    at once; a run that is repeated gives the same table.
+def store_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Write a stored table anew, one folder per value of ``partition``, and record its schema."""
+    schema = _as_read(df, partition)
+    df.write.mode("overwrite").partitionBy(partition).parquet(path)
+    _record(df.sparkSession, path, schema, [])
+
+
+def _as_read(df: DataFrame, partition: str) -> StructType:
+    """The schema a reader sees: every column may be null, the partition comes last."""
+    fields = [StructField(f.name, f.dataType) for f in df.schema.fields]
+    return StructType([f for f in fields if f.name != partition] + [f for f in fields if f.name == partition])
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in names])
+
+
+def _empty_partition(spark: SparkSession, path: str, name: str, value, schema: StructType) -> None:
+    said = "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else re.sub(
+        "[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]", lambda c: f"%{ord(c[0]):02X}", str(value))
+    rest = StructType([f for f in schema.fields if f.name != name])
+    spark.createDataFrame([], rest).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}={said}")
+
+
+def merge_partitions(batch: DataFrame, path: str, keys: list[str], partition: str) -> None:
+    """Upsert ``batch`` into the stored table at ``path``: rows with its keys are replaced, and the
+    table gets its columns (new ones are null in old rows, vanished ones go).
+
+    Only partitions that ``batch`` has rows for are read and written; where ``partition`` is no
+    key, also those in which the keys are found, so a row that moves is not there twice.  Null
+    keys and partitions are values like others.  The merged rows are computed into a folder of
+    their own first, then take the place of the old partitions, and the schema is recorded last:
+    a run that fails leaves the old rows under the old schema, and a run that is repeated gives
+    the same table.  Where a column changes its type, or comes back under the name of one that
+    went, all partitions are written, as old files would be misread.
     """
     spark = batch.sparkSession
     batch = freeze(batch)
-    target = spark.read.parquet(path)
+    old, dropped = stored_schema(spark, path)
+    target, new = read_stored(spark, path), _as_read(batch, partition)
+    kinds = {f.name: f.dataType for f in old.fields}
+    rewrite = any((f.name in kinds and kinds[f.name] != f.dataType) or (f.name not in kinds and f.name in dropped)
+                  for f in new.fields)
+    # a row per partition
     touched = batch.select(partition).distinct()
-    reached = target.join(F.broadcast(touched), partition, "left_semi")  # a row per partition
-    merged = freeze(upsert(reached, batch, keys))
+    if partition not in keys:
+        wanted = batch.select(*keys).distinct()
+        touched = touched.union(target.join(wanted, _same(target, wanted, keys), "left_semi").select(partition)).distinct()
+    touched = freeze(target.select(partition).union(batch.select(partition)).distinct() if rewrite else touched)
+    reached = target.join(F.broadcast(touched), _same(target, touched, [partition]), "left_semi")
+    aligned, wanted = align_columns(reached, batch), batch.select(*keys).distinct()
+    merged = freeze(aligned.join(wanted, _same(aligned, wanted, keys), "left_anti").unionByName(batch))
     overwrite_partitions(merged, path, partition)
+    left = merged.select(partition).distinct()
+    emptied = touched.join(left, _same(touched, left, [partition]), "left_anti")
+    for row in emptied.collect():  # partitions whose rows have all moved
+        _empty_partition(spark, path, partition, row[0], new)
+    gone = (set(dropped) | set(kinds)) - {f.name for f in new.fields}
+    _record(spark, path, new, [] if rewrite else sorted(gone))
 
 
 def refresh_start(target: DataFrame, year: str, default: int, lookback: int = 1) -> int:

@@ -202,6 +202,39 @@ def test_upsert_and_schema_sync(spark, rows):
     assert tables.refresh_start(target.limit(0), "y", 1990) == 1989
 
 
+def test_stored_merge_follows_the_schema(spark, rows):
+    folder = new_folder(spark, "test-merge")
+    read = lambda *columns: rows(tables.read_stored(spark, folder), *columns)
+    make = spark.createDataFrame
+    tables.store_partitions(make([(1, 2000, "a", 1), (2, 2001, "b", 2), (None, None, "n", 3)],
+                                 "k int, y int, v string, old int"), folder, "y")
+    merge = lambda df, keys=("k", "y"): tables.merge_partitions(df, folder, list(keys), "y")
+    for _ in range(2):  # a new column, one gone, null keys, a new partition
+        merge(make([(2, 2001, "B", 1.5), (3, 2002, "c", 2.5), (None, None, "N", 3.5)], "k int, y int, v string, new double"))
+    assert read("k", "y", "v", "new") == [(1, 2000, "a", None), (2, 2001, "B", 1.5), (3, 2002, "c", 2.5),
+                                          (None, None, "N", 3.5)]
+    assert tables.read_stored(spark, folder).columns == ["k", "v", "new", "y"]
+    # the column that went comes back with another type: its old values do not
+    merge(make([(4, 2002, "d", 0.5, "x")], "k int, y int, v string, new double, old string"))
+    assert read("k", "y", "old") == [(1, 2000, None), (2, 2001, None), (3, 2002, None), (4, 2002, "x"), (None, None, None)]
+    # a column changes its type; keys without the partition are found in every partition, which may run empty
+    merge(make([(1, 2002, "A", "new", "y"), (2, 2000, "B", "z", None)], "k int, y int, v string, new string, old string"), ["k"])
+    assert read("k", "y", "v", "new") == [(1, 2002, "A", "new"), (2, 2000, "B", "z"), (3, 2002, "c", "2.5"),
+                                          (4, 2002, "d", "0.5"), (None, None, "N", "3.5")]
+    merge(make([(9, 2000, "q")], "k int, y int, v string").limit(0))
+    assert read("k", "y", "v")[0] == (1, 2002, "A") and tables.stored_schema(spark, folder)[1] == ["new", "old"]
+
+
+def test_merge_that_fails_leaves_the_old_rows(spark, rows):
+    folder = new_folder(spark, "test-merge")
+    tables.store_partitions(spark.createDataFrame([(1, 2000), (2, 2001)], "k int, y int"), folder, "y")
+    bad = spark.createDataFrame([(1, 2000), (0, 2001)], "k int, y int").withColumn(
+        "n", F.when(F.col("k") == 0, F.raise_error(F.lit("bad row"))).otherwise(F.lit("x")))
+    with pytest.raises(Exception, match="bad row"):
+        tables.merge_partitions(bad, folder, ["k"], "y")
+    assert rows(tables.read_stored(spark, folder)) == [(1, 2000), (2, 2001)]
+
+
 def test_partition_overwrite_and_consolidate(spark, rows):
     folder = new_folder(spark, "test-parts")
     schema = "k int, y int"
