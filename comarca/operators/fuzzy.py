@@ -1,9 +1,10 @@
 """Blocked name matching without comparing all pairs of a block.
 
-One name contains another exactly when the shorter is a substring of the longer,
-so the longer side lists its substrings and both sides meet in an equi-join on
-(block, text).  Work grows with the total length of the names, a block of any size
-is spread over the shuffle, and only true matches are ever emitted.
+A name that contains another contains all four-letter pieces of it.  So the longer side lists its
+pieces (as many as it has letters), the shorter side looks for its rarest one only, and the few
+names that have it are compared.  Work grows with the length of the names, a block of any size is
+spread over the shuffle, and a piece that many names share is looked up by names alone that have
+no rarer one.
 """
 
 from __future__ import annotations
@@ -17,14 +18,28 @@ from comarca.session import freeze
 MIN_CONTAINED = 4
 
 
-def _substrings(c: Column, shortest: int) -> Column:
-    """Distinct substrings of at least ``shortest`` letters, without ``c`` itself."""
-    def of_start(start: Column) -> Column:
-        return F.transform(F.sequence(F.lit(shortest), F.length(c) - start + 1),
-                           lambda size: F.substring(c, start, size))
-    starts = F.sequence(F.lit(1), F.length(c) - shortest + 1)
-    every = F.flatten(F.transform(starts, of_start))
-    return F.when(F.length(c) >= shortest, F.array_remove(F.array_distinct(every), c))
+def _pieces(c: Column) -> Column:
+    """Distinct pieces of ``MIN_CONTAINED`` letters; null for shorter texts."""
+    starts = F.sequence(F.lit(1), F.length(c) - MIN_CONTAINED + 1)
+    return F.when(F.length(c) >= MIN_CONTAINED,
+                  F.array_distinct(F.transform(starts, lambda at: F.substr(c, at, F.lit(MIN_CONTAINED)))))
+
+
+def contained_texts(short: DataFrame, long: DataFrame, block: str) -> DataFrame:
+    """(block, short, long): distinct texts of ``short`` that distinct, other texts of ``long`` in
+    the block contain.  Both sides have (block, text)."""
+    listed = long.select(block, F.col("text").alias("long")).distinct().select(
+        block, "long", F.explode(_pieces(F.col("long"))).alias("piece"))
+    listed = freeze(listed)  # read for the counts and for the matches
+    counts = listed.groupBy(block, "piece").agg(F.count(F.lit(1)).alias("n"))
+    asked = short.select(block, F.col("text").alias("short")).distinct().select(
+        block, "short", F.explode(_pieces(F.col("short"))).alias("piece"))
+    # a piece that no longer text has rules its text out; "n" is null there and comes first
+    rarest = (salted_join(asked, counts, [block, "piece"], "left").groupBy(block, "short")
+              .agg(F.min(F.struct("n", "piece")).alias("least")).where("least.n is not null")
+              .select(block, "short", F.col("least.piece").alias("piece")))
+    return (salted_join(listed, rarest, [block, "piece"], "inner")
+            .where(F.contains("long", F.col("short")) & (F.col("long") != F.col("short"))).select(block, "short", "long"))
 
 
 def unresolved_names(df: DataFrame, name: str = "municipality_name",
@@ -53,44 +68,42 @@ def fuzzy_matches(names: DataFrame, dictionary: DataFrame, block: str = "provinc
     contains the dictionary name; contained text has at least four letters.
     """
     source, target = _sides(names, dictionary, block)
-    keys = [block, "text"]
-    longer_target = target.withColumn("text", F.explode(_substrings(F.col("text"), MIN_CONTAINED)))
-    longer_source = source.withColumn("text", F.explode(_substrings(F.col("text"), MIN_CONTAINED)))
+    in_target = contained_texts(source, target, block).select(block, F.col("short").alias("text"), "long")
+    in_source = contained_texts(target, source, block).select(block, F.col("long").alias("text"), "short")
 
-    # the side that lists substrings repeats common ones: salt it
-    def scored(many, few, method, score):
-        return (salted_join(many, few, keys, "inner")
-                .select("source_name", block, "matched_code", "matched_name",
-                        F.lit(method).alias("match_method"), F.lit(score).alias("confidence_score")))
+    def scored(pairs, method, score):
+        return pairs.select("source_name", block, "matched_code", "matched_name",
+                            F.lit(method).alias("match_method"), F.lit(score).alias("confidence_score"))
 
-    return (scored(target, source, "exact_normalized", 100)
-            .unionByName(scored(longer_target, source, "substring_match", 85))
-            .unionByName(scored(longer_source, target, "reverse_substring", 80)))
+    keys = [block, "text"]
+    longer = source.join(in_target, keys).drop("text").withColumnRenamed("long", "text")
+    shorter = source.join(in_source, keys).drop("text").withColumnRenamed("short", "text")
+    return (scored(salted_join(source, target, keys, "inner"), "exact_normalized", 100)
+            .unionByName(scored(longer.join(target, keys), "substring_match", 85))
+            .unionByName(scored(shorter.join(target, keys), "reverse_substring", 80)))
 
 
 def best_matches(names: DataFrame, dictionary: DataFrame, block: str = "province_code") -> DataFrame:
     """Best match per name: highest score, shortest dictionary name, lowest code.
 
-    Each side is reduced to its best entry per text *before* the join, so a short
-    name that occurs inside many others costs one row, not one per occurrence.
+    Texts are matched, not names, each with its best entry, and the offers for a text are reduced
+    on the map side.
     """
     source, target = _sides(names, dictionary, block)
     entry = F.struct(F.length("matched_name").alias("size"), F.col("matched_code"),
                      F.col("matched_name"))
     whole = target.groupBy(block, "text").agg(F.min(entry).alias("entry"))
-    inside = (target.withColumn("text", F.explode(_substrings(F.col("text"), MIN_CONTAINED)))
-              .groupBy(block, "text").agg(F.min(entry).alias("entry")))
-    offers = (whole.withColumn("rank", F.lit(0))
-              .unionByName(inside.withColumn("rank", F.lit(1)))
-              .groupBy(block, "text")
-              .agg(F.min(F.struct("rank", "entry")).alias("offer")))
-    longer_source = source.withColumn("text", F.explode(_substrings(F.col("text"), MIN_CONTAINED)))
-    longer_source = (salted_join(longer_source, whole, [block, "text"], "inner")
-                     .select("source_name", block,
-                             F.struct(F.lit(2).alias("rank"), F.col("entry")).alias("offer")))
-    candidates = (source.join(offers, [block, "text"]).select("source_name", block, "offer")
-                  .unionByName(longer_source))
-    best = candidates.groupBy("source_name", block).agg(F.min("offer").alias("offer"))
+
+    def offers(rank: int, pairs: DataFrame) -> DataFrame:
+        return pairs.select(block, "wanted", F.struct(F.lit(rank).alias("rank"), "entry").alias("offer"))
+
+    equal = source.select(block, "text").distinct().join(whole, [block, "text"]).withColumnRenamed("text", "wanted")
+    in_target = contained_texts(source, target, block).withColumnsRenamed({"short": "wanted", "long": "text"})
+    in_source = contained_texts(target, source, block).withColumnsRenamed({"long": "wanted", "short": "text"})
+    candidates = (offers(0, equal).unionByName(offers(1, in_target.join(whole, [block, "text"])))
+                  .unionByName(offers(2, in_source.join(whole, [block, "text"]))))
+    best = candidates.groupBy(block, F.col("wanted").alias("text")).agg(F.min("offer").alias("offer"))
+    best = salted_join(source, best, [block, "text"], "inner")
     rank = F.col("offer.rank")
     return best.select(
         "source_name", block,

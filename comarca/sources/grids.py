@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from comarca.operators.joins import lookup_join
+from comarca.session import freeze
 
 GRID_SCHEMA = ("source_file string, sheet_no int, sheet string, row_idx int, "
                "cells array<string>")
@@ -16,21 +19,40 @@ Decoder = Callable[[bytes], Iterable[tuple[int, str, int, list]]]
 def read_text_grid(spark: SparkSession, path: str, separator: str = ";") -> DataFrame:
     """Delimited text workbooks: a line ``[sheet name]`` starts a sheet.
 
-    A workbook is one unit of input, as its binary form is; files spread over tasks.
-    The rows are split apart by built-in functions.  Empty cells become null.
+    Files are read in splits, so a workbook of any size is read by many tasks.  In a split the
+    titles are carried forward by a window that is no larger than the split; lines before its
+    first title belong to the last sheet of the splits before, and its numbers of lines and
+    sheets go on from theirs.  Empty cells become null; lines above the first title are no rows.
     """
-    files = spark.read.text(path, wholetext=True)
-    if "source_file" not in files.columns:  # else one folder per workbook names it
-        files = files.withColumn("source_file", F.col("_metadata.file_name"))
-    sheets = files.select("source_file", F.posexplode(F.split("value", r"(?m)^\[")).alias("sheet_no", "body"))
-    sheets = sheets.where(F.col("sheet_no") > 0).select(
-        "source_file", (F.col("sheet_no") - 1).alias("sheet_no"),
-        F.regexp_extract("body", r"^([^\]]*)\]", 1).alias("sheet"),
-        F.regexp_replace("body", r"^[^\]]*\]\r?\n|\r?\n$", "").alias("lines"))
-    rows = sheets.select("source_file", "sheet_no", "sheet",
-                         F.posexplode(F.split("lines", r"\r?\n")).alias("row_idx", "line"))
+    lines = spark.read.text(path)
+    if "source_file" not in lines.columns:  # else one folder per workbook names it
+        lines = lines.withColumn("source_file", F.col("_metadata.file_name"))
+    title = F.when(F.col("line").rlike(r"^\[[^\]]*\]\s*$"), F.regexp_extract("line", r"^\[([^\]]*)\]", 1))
+    lines = lines.select("source_file", F.col("_metadata.file_path").alias("path"),
+                         F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+    lines = lines.withColumns({"id": F.monotonically_increasing_id(), "title": title})
+    so_far = Window.partitionBy("path", "start").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = F.when(F.col("title").isNotNull(), F.col("no"))
+    lines = freeze(lines.withColumn("no", F.count(F.lit(1)).over(so_far)).select(
+        "source_file", "path", "start", "line", "no", F.col("title").isNull().alias("data"),
+        F.count("title").over(so_far).alias("titles"), F.last("title", True).over(so_far).alias("title"),
+        F.last(at, True).over(so_far).alias("title_at")))
+    # a row per split
+    splits = lines.groupBy("path", "start").agg(
+        F.max("no").alias("n"), F.max("titles").alias("t"), F.max("title_at").alias("last_at"),
+        F.max_by("title", "no").alias("last"))
+    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("lines_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    splits = splits.select("path", "start", "lines_before", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("titles_before"),
+                           F.last("last", True).over(earlier).alias("title_before"),
+                           F.last(F.col("lines_before") + F.col("last_at"), True).over(earlier).alias("at_before"))
+    rows = lookup_join(lines, splits, ["path", "start"], "inner", derived=True, salt_on=["no"])
     cells = F.transform(F.split("line", f"\\Q{separator}\\E", -1), lambda c: F.nullif(c, F.lit("")))
-    return rows.select("source_file", "sheet_no", "sheet", "row_idx", cells.alias("cells"))
+    begun = F.coalesce(F.col("lines_before") + F.col("title_at"), F.col("at_before"))
+    return rows.where(F.col("data") & begun.isNotNull()).select(
+        "source_file", (F.col("titles_before") + F.col("titles") - 1).cast("int").alias("sheet_no"),
+        F.coalesce("title", "title_before").alias("sheet"),
+        (F.col("lines_before") + F.col("no") - begun - 1).cast("int").alias("row_idx"), cells.alias("cells"))
 
 
 def read_workbooks(spark: SparkSession, path: str, decoders: list[Decoder],

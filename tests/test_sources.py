@@ -24,6 +24,30 @@ def test_text_grid_roundtrip(spark, tmp_path, rows):
     assert rows(grids.read_text_grid(spark, folder), *got.columns) == rows(got)
 
 
+@pytest.mark.parametrize("split", ["128m", "40b"])
+def test_text_workbook_over_splits(spark, tmp_path, rows, split):
+    draw, want = random.Random(9), []
+    for name in ("a.txt", "b.txt"):
+        text = ["above", "the first title"]
+        for sheet in range(6):
+            text.append(f"[S {sheet}]" + " " * (sheet % 2))
+            for i in range(draw.choice([0, 1, 9])):
+                cells = [draw.choice(["", "x", "[no] y", "long " * 12]) for _ in range(draw.randint(1, 4))]
+                text.append(";".join(cells))
+                want.append((name, sheet, f"S {sheet}", i, [c or None for c in cells]))
+        (tmp_path / name).write_text("\r\n".join(text) + "\r\n" * (name == "a.txt"))
+    (tmp_path / "empty.txt").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert rows(grids.read_text_grid(spark, str(tmp_path))) == sorted(
+            want, key=lambda r: tuple((v is None, str(v)) for v in r))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_workbook_decoders_fall_back_and_report(spark, tmp_path, rows):
     def decode_json(content: bytes):
         for number, (name, lines) in enumerate(json.loads(content).items()):
