@@ -18,6 +18,7 @@ from comarca.functions.text import (canonical_header, file_period, heading_patte
                                     two_digit_year)
 from comarca.operators.joins import lookup_join
 from comarca.operators.ranking import last_wins
+from comarca.session import freeze
 
 SHEET = ["source_file", "sheet_no", "sheet"]
 
@@ -109,7 +110,7 @@ def keep_last_sheet(profile: DataFrame) -> DataFrame:
 
 def rejected_sheets(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
     """Sheets of which no row is used, with the reason and their number of rows."""
-    profile = sheet_profile(grid, v)
+    profile = freeze(sheet_profile(grid, v))  # a row per sheet, read twice
     known = F.coalesce(F.col("data_type").isin(list(fv.SHEET_PREFIXES.values())), F.lit(False))
     kept = keep_last_sheet(profile).select(*SHEET, F.lit(True).alias("_kept"))
     reason = (F.when(~known, "unknown_type").when(F.col("data_start").isNull(), "no_data_row")
@@ -168,14 +169,19 @@ def project_layout(rows: DataFrame, data_type: str, v: Vintages = DEFAULT) -> Da
 
 
 def tidy_rows(grid: DataFrame, data_type: str, v: Vintages = DEFAULT) -> DataFrame:
-    """Grid to tidy rows of one data type."""
+    """Grid to tidy rows of one data type.
+
+    The grid is decoded once and kept: the profile and the rows read the kept copy.
+    """
+    grid = freeze(grid)
     profile = keep_last_sheet(sheet_profile(grid, v)).where(F.col("data_type") == data_type)
     rows = data_rows(grid, profile).where(noise_reason(v).isNull())
     return project_layout(rows, data_type, v)
 
 
 def rejected_rows(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
-    """Data rows that were dropped, with the reason."""
+    """Data rows that were dropped, with the reason; the grid is decoded once, as in ``tidy_rows``."""
+    grid = freeze(grid)
     rows = data_rows(grid, keep_last_sheet(sheet_profile(grid, v)))
     return (rows.withColumn("reason", noise_reason(v)).where(F.col("reason").isNotNull())
             .select(*SHEET, "row_idx", "data_type", "reason"))
@@ -191,8 +197,9 @@ def population_rows(grid: DataFrame, v: Vintages = DEFAULT,
 
     The header row of a sheet is turned into the cell position of each canonical
     column; the positions travel with the sheet, so sheets of all years are read in
-    one job without a schema per file.
+    one job without a schema per file.  The grid is decoded once, as in ``tidy_rows``.
     """
+    grid = freeze(grid)
     near_top = _within(v.header_rows)
     header = F.struct(F.col("row_idx"), F.col("cells"))
     fallback = F.min(F.when(F.col("row_idx") == v.default_header, header))

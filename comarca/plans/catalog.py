@@ -287,7 +287,7 @@ def rejected_sheets(spark, sf):
 
 @query
 def grid_positional(spark, sf):
-    df = grid(spark, sf, "contracts")
+    df = freeze(grid(spark, sf, "contracts"))
     rows = grids.data_rows(df, grids.keep_last_sheet(grids.sheet_profile(df, VINTAGES)))
     return grids.project_layout(rows, "contracts", VINTAGES)
 
