@@ -70,8 +70,9 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
     """(check_name, severity, violations, status) of every check.
 
     All row checks share one pass over the table; each uniqueness check is one
-    aggregation that counts its repeated keys.
+    aggregation that counts its repeated keys.  Declarations stand for the checks they describe.
     """
+    checks = [c if isinstance(c, Check) else c.check() for c in checks]
     spark = df.sparkSession
     facts = spark.createDataFrame([(c.name, c.severity, c.allow) for c in checks],
                                   "check_name string, severity string, allow bigint")

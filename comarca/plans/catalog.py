@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from comarca.functions import classes, text
 from comarca.functions.fixed_values import UNEMPLOYMENT_MEASURES
-from comarca.operators import checks, fuzzy, grid as grids, headers, lookup, ranking
+from comarca.operators import checks, fuzzy, grid as grids, headers, lookup, ranking, typed
+from comarca.operators.declared import declaration_table, run_declared
 from comarca.operators.timeseries import with_previous_year
 from comarca.plans import dashboard, marts, reports, staging, suites
 from comarca.plans.rollup import yearly_unemployment
@@ -359,6 +360,21 @@ def zero_pad_codes(spark, sf):
         "c_custkey", "province_code", "municipality_code"))
 
 
+@query
+def dictionary_typed(spark, sf):
+    """The dictionary sheet under its own headers, typed strictly; rows that do not fit are left out."""
+    sheet = derive(spark, sf, "dictionary_sheet").withColumnsRenamed({
+        "codauto": "CODAUTO", "cpro": "CPRO", "cmun": " cmun ", "dc": "DC", "nombre": "Nombre"})
+    return typed.accepted(typed.typed(sheet, typed.DICTIONARY))
+
+
+@query
+def dictionary_rejects(spark, sf):
+    """Values of the dictionary sheet that do not fit, with column and reason."""
+    sheet = derive(spark, sf, "dictionary_sheet")
+    return typed.rejects(typed.typed(sheet, typed.DICTIONARY), "place_key")
+
+
 @query
 def drop_nonnumeric_key(spark, sf):
     return headers.count_non_numeric(derive(spark, sf, "code_rows"), "province_code")
@@ -733,6 +749,41 @@ def dq_suite_yearly(spark, sf):
                             suites.yearly(BOUNDS, key=("municipality_code", "data_year")))
 
 
+def _declared(spark):
+    return declaration_table(spark, suites.declared(BOUNDS, RATE_YEARS))
+
+
+def _rates(spark, sf):
+    return marts.unemployment_rates(_trends(spark, sf), _yearly(spark, sf), RATE_YEARS)
+
+
+def _socioeconomic(spark, sf):
+    return marts.socioeconomic_trends(_trends(spark, sf), _yearly(spark, sf), RATE_YEARS)
+
+
+#: Models whose declared checks are run from the table.
+MODELS = {"municipalities": _dictionary, "provinces": _provinces, "population": _population, "contracts": _contracts,
+          "population_trends": _trends, "rates": _rates, "socioeconomic": _socioeconomic}
+
+
+def _declared_query(model: str, build: Query) -> Query:
+    def run(spark, sf):
+        return run_declared(_declared(spark), {model: freeze(build(spark, sf))})
+    run.__name__ = f"declared_{model}"
+    return run
+
+
+for _model, _build in MODELS.items():
+    query(_declared_query(_model, _build))
+
+
+@query
+def declared_by_tag(spark, sf):
+    """Keys and ranges of three models; a model without such a check is not read."""
+    models = {m: MODELS[m](spark, sf) for m in ("municipalities", "provinces", "population")}
+    return run_declared(_declared(spark), models, tags=["keys", "range"])
+
+
 @query
 def year_completeness(spark, sf):
     return checks.year_completeness(_population(spark, sf), "data_year", 1994, 2002, [1996])

@@ -4,7 +4,8 @@ window, NOT EXISTS where it uses an anti-join, theta joins where it uses substri
 from __future__ import annotations
 
 from comarca.functions import fixed_values as fv
-from comarca.plans.workload import CODE_BASE, CONTRACT_PARTS, UNEMPLOYMENT_PARTS, oracle_with
+from comarca.plans import suites
+from comarca.plans.workload import BOUNDS, CODE_BASE, CONTRACT_PARTS, RATE_YEARS, UNEMPLOYMENT_PARTS, oracle_with
 
 ORACLES: dict[str, str] = {}
 
@@ -609,6 +610,17 @@ SELECT c_custkey, CASE WHEN length(province_code) < 2 THEN '0' || province_code
   AS province_code, CASE WHEN length(municipality_code) < 5
   THEN repeat('0', 5 - length(municipality_code)) || municipality_code ELSE municipality_code END
   AS municipality_code FROM code_rows""")
+_bad = {"bad": """SELECT place_key, 'province_code' AS column_name, cpro AS value,
+    CASE WHEN place_key % 23 = 4 THEN 'not_int' ELSE 'out_of_range' END AS reason
+  FROM dictionary_sheet WHERE place_key % 23 = 4 OR place_key % 29 = 6
+  UNION ALL SELECT place_key, 'municipality_code', cmun, 'not_bigint' FROM dictionary_sheet WHERE place_key % 19 = 3
+  UNION ALL SELECT place_key, 'check_digit', dc, 'missing' FROM dictionary_sheet
+    WHERE place_key % 31 = 5 OR place_key % 37 = 8
+  UNION ALL SELECT place_key, 'municipality_name', nombre, 'missing' FROM dictionary_sheet WHERE place_key % 41 = 9"""}
+ORACLES["dictionary_rejects"] = body(["dictionary_sheet"], _bad, "SELECT * FROM bad")
+ORACLES["dictionary_typed"] = body(["dictionary_sheet"], _bad, """
+SELECT place_key, autonomous_community_code, province_code, municipality_code, check_digit, municipality_name
+FROM places WHERE place_key NOT IN (SELECT place_key FROM bad)""")
 ORACLES["drop_nonnumeric_key"] = body(["code_rows"], {}, """
 SELECT count(*) FILTER (WHERE regexp_full_match(province_code, '[0-9]+')) AS rows_kept,
   count(*) FILTER (WHERE NOT coalesce(regexp_full_match(province_code, '[0-9]+'), false)) AS rows_removed
@@ -817,6 +829,42 @@ ORACLES["dq_suite_yearly"] = body(UNEMP_NEEDS, YEARLY, suite("rollup", [
     ("unemployment_trend_values", "error", 0, "unemployment_trend NOT IN ('high_increase', "
      "'moderate_increase', 'stable', 'moderate_decrease', 'high_decrease', 'no_comparison_data')")],
     "municipality_code, data_year"))
+def declared_sql(model: str, table: str, tags: set[str] | None = None) -> str:
+    """Status rows of the declared checks of a model, every check a query of its own."""
+    def violation(d) -> str:
+        c = d.columns[0] if d.columns else ""
+        return {"not_null": lambda: f"{c} IS NULL", "not_empty": lambda: f"trim({c}) = ''",
+                "range": lambda: " OR ".join(f"{c} {op} {x}" for op, x in zip("<>", d.arguments) if x != ""),
+                "values": lambda: f"{c} NOT IN ({', '.join(repr(a) for a in d.arguments)})",
+                "expression": lambda: f"NOT ({d.arguments[0]})"}[d.kind]()
+
+    parts = []
+    for d in suites.declared(BOUNDS, RATE_YEARS)[model]:
+        if tags is None or tags & set(d.tags):
+            key = ", ".join(d.columns)
+            rows = (f"(SELECT 1 FROM {table} WHERE {' IS NOT NULL AND '.join(d.columns)} IS NOT NULL GROUP BY {key} "
+                    "HAVING count(*) > 1) x" if d.kind == "unique" else f"{table} WHERE {violation(d)}")
+            parts.append(f"SELECT '{model}' AS model, '{d.name}' AS check_name, '{d.severity}' AS severity, "
+                         f"{d.allow} AS allow, count(*) AS violations FROM {rows}")
+    return f"""SELECT model, check_name, severity, violations, CASE WHEN violations <= allow THEN 'pass'
+  WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status FROM ({' UNION ALL '.join(parts)}) c"""
+
+
+def _whole(name: str) -> str:
+    """An oracle's own text after its WITH clause, as a relation."""
+    return f"({ORACLES[name]}) m"
+
+
+ORACLES["declared_municipalities"] = declared_sql("municipalities", _whole("dim_entities"))
+ORACLES["declared_provinces"] = declared_sql("provinces", _whole("dim_provinces"))
+ORACLES["declared_population"] = body(POP_NEEDS, POP, declared_sql("population", "population"))
+ORACLES["declared_contracts"] = body(CONTR_NEEDS, CONTR, declared_sql("contracts", "contracts"))
+ORACLES["declared_population_trends"] = body(POP_NEEDS, TRENDS, declared_sql("population_trends", "trends"))
+for _name in ("rates", "socioeconomic"):
+    ORACLES[f"declared_{_name}"] = f"WITH marts AS MATERIALIZED ({ORACLES[_name + '_mart']}) " + declared_sql(_name, "marts")
+ORACLES["declared_by_tag"] = " UNION ALL ".join(declared_sql(m, t, {"keys", "range"}) for m, t in (
+    ("municipalities", _whole("dim_entities")), ("provinces", _whole("dim_provinces")),
+    ("population", _whole("stage_population"))))
 ORACLES["year_completeness"] = body(POP_NEEDS, {
     **POP, "e": "SELECT CAST(y AS INT) AS y FROM range(1994, 2003) t(y) WHERE y <> 1996",
     "a": "SELECT DISTINCT data_year AS y FROM population"}, """

@@ -140,6 +140,15 @@ RELATIONS: dict[str, str] = {
   FROM {{supplier}} JOIN @provinces p ON s_nationkey + 1 = p.province_code""",
     "dictionary": """SELECT autonomous_community_code, province_code, municipality_code, check_digit,
     municipality_name FROM @places""",
+    # the dictionary as its sheet has it: texts, padded codes, and some that do not fit
+    "dictionary_sheet": """SELECT place_key, lpad(CAST(autonomous_community_code AS STRING), 2, '0') AS codauto,
+    CASE WHEN place_key % 23 = 4 THEN 'x' || CAST(province_code AS STRING) WHEN place_key % 29 = 6 THEN '77'
+      ELSE ' ' || lpad(CAST(province_code AS STRING), 2, '0') END AS cpro,
+    CASE WHEN place_key % 19 = 3 THEN CAST(municipality_code AS STRING) || '.5' WHEN place_key % 2 = 1
+      THEN CAST(municipality_code AS STRING) || '.0' ELSE CAST(municipality_code AS STRING) END AS cmun,
+    CASE WHEN place_key % 31 = 5 THEN NULL WHEN place_key % 37 = 8 THEN '' ELSE CAST(check_digit AS STRING) END AS dc,
+    CASE WHEN place_key % 41 = 9 THEN '  ' ELSE '  ' || municipality_name || ' ' END AS nombre
+  FROM @places""",
     "monthly_quantity": f"SELECT {MONTH_KEY}, sum(l_quantity) AS total_unemployment,\n  {UNEMPLOYMENT} "
                         "FROM {lineitem} GROUP BY 1, 2, 3",
     "monthly_count": f"SELECT {MONTH_KEY}, CAST(count(*) AS DOUBLE) AS total_contracts,\n  {CONTRACTS} "

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window as W, functions as F
 
-from comarca.operators import checks, grid as grids, headers, ranking, timeseries
+from comarca.operators import checks, declared, grid as grids, headers, ranking, timeseries, typed
 from comarca.plans.rollup import yearly_unemployment
 from comarca.functions import fixed_values as fv
 
@@ -200,3 +200,44 @@ def test_mapping_consistency(spark, rows):
     right = spark.createDataFrame([("a", 1), ("b", 9), ("d", 4), ("d", 5), ("e", 6)], "n string, c bigint")
     got = checks.mapping_consistency(left, right, ["n"], "c")
     assert [r[0] for r in rows(got)] == ["b", "c", "d", "e"]
+
+
+def test_declared_checks_from_a_table(spark, rows):
+    df = spark.createDataFrame([(1, " ", 5.0, "a"), (1, "x", None, "b"), (None, "y", -1.5, None)],
+                               "k int, name string, v double, c string")
+    make = declared.Declaration
+    suite = [make("k", "not_null", ("k",), tags=("presence",)), make("name", "not_empty", ("name",)),
+             make("v", "range", ("v",), ("-1.5", "4"), "warn", 1), make("low", "range", ("v",), ("0", "")),
+             make("c", "values", ("c",), ("a",)), make("key", "unique", ("k",), tags=("keys", "presence")),
+             make("e", "expression", (), ("v > 0 OR c IS NULL",))]
+    table = declared.declaration_table(spark, {"m": suite, "other": suite[:1]})
+    assert rows(declared.run_declared(table, {"m": df})) == [
+        ("m", "c", "error", 1, "fail"), ("m", "e", "error", 0, "pass"), ("m", "k", "error", 1, "fail"),
+        ("m", "key", "error", 1, "fail"), ("m", "low", "error", 1, "fail"), ("m", "name", "error", 1, "fail"),
+        ("m", "v", "warn", 1, "pass")]
+    got = declared.run_declared(table, {"m": df, "other": df}, tags=["presence"])
+    assert rows(got, "model", "check_name") == [("m", "k"), ("m", "key"), ("other", "k")]
+    assert rows(declared.run_declared(table, {"m": df}, tags=["none"])) == []
+    with pytest.raises(ValueError, match="unknown kind"):
+        make("x", "sum").check()
+
+
+def test_typed_rows_and_rejects(spark, rows):
+    fields = (typed.Field("code", "int", ("COD", "Code no"), low=1, high=9), typed.Field("share", "double", required=False),
+              typed.Field("name", "string", ("NOMBRE",)))
+    df = spark.createDataFrame([(1, " 07 ", "1.5", " a b\t"), (2, "7.0", None, "c"), (3, "7.5", "x", "d"), (4, "12", "", "  "),
+                                (5, None, "1e3", "e"), (6, "99999999999", "1", "f")],
+                               "id int, `code NO` string, share string, Nombre string")
+    got = typed.typed(df, fields)
+    assert got.dtypes[:4] == [("id", "int"), ("code", "int"), ("share", "double"), ("name", "string")]
+    assert rows(typed.accepted(got)) == [(1, 7, 1.5, "a b"), (2, 7, None, "c")]
+    assert rows(typed.rejects(got, "id")) == [
+        (3, "code", "7.5", "not_int"), (3, "share", "x", "not_double"), (4, "code", "12", "out_of_range"),
+        (4, "name", "  ", "missing"), (5, "code", None, "missing"), (6, "code", "99999999999", "not_int")]
+    with pytest.raises(ValueError, match="code missing 1, code not_int 2, code out_of_range 1, name missing 1, share"):
+        typed.load_strict(df, fields)
+    assert typed.load_strict(df.where("id < 3"), fields).count() == 2
+    with pytest.raises(ValueError, match="name: no column"):
+        typed.typed(df.drop("Nombre"), fields)
+    with pytest.raises(ValueError, match="code: columns code NO, cod"):
+        typed.typed(df.withColumn("cod", F.lit("1")), fields)
