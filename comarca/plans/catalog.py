@@ -669,6 +669,37 @@ def stream_new_files(spark, sf):
                                           F.countDistinct("user_id").alias("users"))
 
 
+@query
+def stream_current_state(spark, sf):
+    """Events delivered three times: in two files, one of them again, and the other with changes."""
+    folder = new_folder(spark, "deliveries")
+    events = table(spark, sf, "events").select("event_id", "event_type", "user_id")
+    schema = "event_id bigint, event_type string, user_id bigint"
+    events = events.select(*[col(c).cast(t.split()[1]) for c, t in zip(events.columns, schema.split(", "), strict=True)])
+
+    def deliver(rows, day, name):
+        rows.coalesce(1).write.parquet(f"{folder}/raw/{day}/{name}")
+
+    def take_in():
+        arrivals.intake_current(spark, f"{folder}/raw", schema, f"{folder}/table", f"{folder}/log", f"{folder}/state",
+                                ["event_type", "event_id"], "event_type", glob="*.parquet")
+
+    odd = events.where("event_id % 2 = 1")
+    deliver(events.where("event_id % 2 = 0"), "day1", "even")
+    deliver(odd, "day1", "odd")
+    take_in()
+    deliver(odd, "day2", "again")
+    deliver(events.where("event_id % 10 = 0").withColumn("user_id", col("user_id") + 1_000_000), "day2", "changed")
+    for _ in range(2):  # the second call finds nothing new
+        take_in()
+    files = (spark.read.schema(arrivals.LOG_SCHEMA).parquet(f"{folder}/log").groupBy("status")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("total")))
+    rows = tables.read_stored(spark, f"{folder}/table").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("total"))
+    return (rows.select(F.lit("rows").alias("of"), col("event_type").alias("name"), "n", "total")
+            .unionByName(files.select(F.lit("files").alias("of"), col("status").alias("name"), "n", "total")))
+
+
 # ---- checks --------------------------------------------------------------------
 
 @query

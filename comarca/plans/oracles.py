@@ -747,6 +747,11 @@ SELECT province_code, municipality_code, data_year,
   CASE WHEN data_year >= 1999 THEN population_female END AS population_female FROM population""")
 ORACLES["stream_new_files"] = """
 SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1"""
+ORACLES["stream_current_state"] = """
+SELECT 'rows' AS "of", event_type AS name, count(*) AS n,
+  CAST(sum(user_id + CASE WHEN event_id % 10 = 0 THEN 1000000 ELSE 0 END) AS BIGINT) AS total FROM events GROUP BY 2
+UNION ALL SELECT 'files', 'new', 3, CAST(count(*) + count(*) FILTER (event_id % 10 = 0) AS BIGINT) FROM events
+UNION ALL SELECT 'files', 'redelivered', 1, CAST(count(*) AS BIGINT) FROM events WHERE event_id % 2 = 1"""
 
 # ---- checks --------------------------------------------------------------------
 

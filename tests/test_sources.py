@@ -312,6 +312,32 @@ def test_stream_reads_every_file_once(spark, rows):
     assert rows(arrivals.current_rows(spark, f"{folder}/sink", ["k"])) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_current_state_follows_the_files(spark, rows, tmp_path):
+    folder = new_folder(spark, "test-current")
+    schema = "k int, y int, v string"
+
+    def deliver(day, name, lines):
+        (tmp_path / day).mkdir(exist_ok=True)
+        (tmp_path / day / name).write_text("".join(f"{line}\n" for line in lines))
+
+    def take_in():
+        arrivals.intake_current(spark, str(tmp_path), schema, f"{folder}/t", f"{folder}/log", f"{folder}/state",
+                                ["k", "y"], "y", fmt="csv", glob="*.csv")
+        return rows(tables.read_stored(spark, f"{folder}/t"), "k", "y", "v", "source_file")
+
+    log = lambda: rows(spark.read.schema(arrivals.LOG_SCHEMA).parquet(f"{folder}/log"), "batch_id", "source_file", "status")
+    deliver("d1", "a.csv", ["1,2000,a", "2,2001,b", ",2001,n", "1,2000,z"])
+    deliver("d1", "copy.csv", ["2,2001,b", "1,2000,a", "1,2000,z", ",2001,n"])
+    assert take_in() == [(1, 2000, "z", "a.csv"), (2, 2001, "b", "a.csv"), (None, 2001, "n", "a.csv")]
+    assert take_in() and log() == [(0, "a.csv", "new"), (0, "copy.csv", "redelivered")]
+    deliver("d2", "a.csv", ["2,2001,B", "3,2002,c"])  # the same name, other content
+    deliver("d2", "b.csv", ["2,2001,b", "1,2000,a", "1,2000,z", ",2001,n"])  # old content, another name
+    assert take_in() == [(1, 2000, "z", "a.csv"), (2, 2001, "B", "a.csv"), (3, 2002, "c", "a.csv"), (None, 2001, "n", "a.csv")]
+    assert log()[2:] == [(1, "a.csv", "changed"), (1, "b.csv", "redelivered")]
+    with pytest.raises(ValueError, match="one of the keys"):
+        arrivals.intake_current(spark, str(tmp_path), schema, "t", "l", "s", ["k"], "y")
+
+
 def test_seed_csv(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text('autonomous_community_code,autonomous_community_name,province_code,province_name\n'
