@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from comarca.functions.measures import half_up, pct
+from comarca.operators.quantiles import exact_median
 from comarca.session import freeze
 
 
@@ -146,7 +147,8 @@ def group_completeness(df: DataFrame, group: str, year: str, share: float = 0.5,
     counts = (df.where(F.col(group).isNotNull()).groupBy(group, year)
               .agg(F.count(F.lit(1)).alias("record_count")))
     # at most one row per year and group from here on
-    medians = counts.groupBy(group).agg(F.median("record_count").alias("median_records"))
+    counts = freeze(counts)
+    medians = exact_median(counts, [group], "record_count").withColumnRenamed("median", "median_records")
     # a median of counts is a whole or a half number: doubled, the ratio is exact
     ratio = half_up(F.col("record_count") * 200, F.col("median_records") * 2, 1)
     return (counts.join(medians, group)

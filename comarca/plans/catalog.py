@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from comarca.functions import classes, text
 from comarca.functions.fixed_values import UNEMPLOYMENT_MEASURES
-from comarca.operators import checks, fuzzy, grid as grids, headers, lookup, ranking, typed
+from comarca.operators import checks, fuzzy, grid as grids, headers, lookup, quantiles, ranking, typed
 from comarca.operators.declared import declaration_table, run_declared
 from comarca.operators.timeseries import with_previous_year
 from comarca.plans import dashboard, marts, reports, staging, suites
@@ -399,6 +399,14 @@ def label_key(spark, sf):
     return df.withColumn("label", text.label_key(col("header")))
 
 
+@query
+def exact_medians(spark, sf):
+    """Median price of all line items as one group and per flag; groups are cut down as if they were huge."""
+    items = table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
+    whole = quantiles.exact_median(items.withColumn("l_returnflag", F.lit("all")), ["l_returnflag"], "l_extendedprice", middle=500)
+    return whole.unionByName(quantiles.exact_median(items, ["l_returnflag"], "l_extendedprice"))
+
+
 @query
 def last_wins(spark, sf):
     """Latest order of every customer."""

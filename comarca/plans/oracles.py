@@ -621,6 +621,9 @@ ORACLES["dictionary_rejects"] = body(["dictionary_sheet"], _bad, "SELECT * FROM
 ORACLES["dictionary_typed"] = body(["dictionary_sheet"], _bad, """
 SELECT place_key, autonomous_community_code, province_code, municipality_code, check_digit, municipality_name
 FROM places WHERE place_key NOT IN (SELECT place_key FROM bad)""")
+ORACLES["exact_medians"] = """
+SELECT 'all' AS l_returnflag, quantile_cont(l_extendedprice, 0.5) AS median FROM lineitem
+UNION ALL SELECT l_returnflag, quantile_cont(l_extendedprice, 0.5) FROM lineitem GROUP BY 1"""
 ORACLES["drop_nonnumeric_key"] = body(["code_rows"], {}, """
 SELECT count(*) FILTER (WHERE regexp_full_match(province_code, '[0-9]+')) AS rows_kept,
   count(*) FILTER (WHERE NOT coalesce(regexp_full_match(province_code, '[0-9]+'), false)) AS rows_removed

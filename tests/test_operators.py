@@ -1,11 +1,12 @@
 """Ranking, time series, grids, headers and checks."""
 
 import random
+import statistics
 
 import pytest
 from pyspark.sql import Window as W, functions as F
 
-from comarca.operators import checks, declared, grid as grids, headers, ranking, timeseries, typed
+from comarca.operators import checks, declared, grid as grids, headers, quantiles, ranking, timeseries, typed
 from comarca.plans.rollup import yearly_unemployment
 from comarca.functions import fixed_values as fv
 
@@ -241,3 +242,18 @@ def test_typed_rows_and_rejects(spark, rows):
         typed.typed(df.drop("Nombre"), fields)
     with pytest.raises(ValueError, match="code: columns code NO, cod"):
         typed.typed(df.withColumn("cod", F.lit("1")), fields)
+
+
+@pytest.mark.parametrize("middle, ranges", [(10 ** 6, 256), (5, 4)])
+def test_exact_median_of_groups_of_any_size(spark, rows, middle, ranges):
+    rng = random.Random(12)
+    data = [(draw, rng.choice([None, 7.0, rng.gauss(0, 100), float(rng.randint(0, 30))])) for draw in
+            rng.choices(["a", "b", None], [90, 9, 1], k=1200)]
+    data += [("one", 3.0), ("two", 1.0), ("two", 2.0), ("none", None), *[("same", 4.0)] * 50]
+    want = {}
+    for g, v in data:
+        want.setdefault(g, []).extend([v] if v is not None else [])
+    df = spark.createDataFrame(data, "g string, v double").repartition(3)
+    got = {r.g: r["median"] for r in quantiles.exact_median(df, ["g"], "v", middle, ranges).collect()}
+    assert got == {g: pytest.approx(statistics.median(v)) for g, v in want.items() if v}
+    assert quantiles.exact_median(df.limit(0), ["g"], "v", middle, ranges).count() == 0
