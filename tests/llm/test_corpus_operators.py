@@ -269,15 +269,30 @@ def test_nearest_with_copies_and_unusable_vectors(spark):
 def test_nearest_goes_on_until_converged_and_wide_enough(spark):
     rng = np.random.default_rng(4)
     rows = list(enumerate(rng.normal(size=(3000, 64)).astype(np.float32).tolist()))
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     nodes = nn_descent.keep_table(df.toDF("node", "vector"), "nodes")
-    graph = nn_descent.neighbour_graph(nodes)
-    assert graph.filter("new").count() <= 0.001 * 20 * 3000
     queries = nodes.filter("node % 100 = 0").withColumn("query", F.col("node"))
-    seen = nn_descent.search(queries, graph, nodes, beam=4).select("query", "node").collect()
     want = nearest_by_hand(rows, 10, 100)
-    pairs = {(r.query, r.node) for r in seen}
-    assert sum((q, i) in pairs for q, near in want.items() for _, i in near) >= 0.95 * 300
+    for blocks in (1, 4):
+        graph = nn_descent.neighbour_graph(nodes, blocks=blocks)
+        assert graph.filter("new").count() <= 0.001 * 20 * 3000
+        seen = nn_descent.search(queries, graph, nodes, beam=4, blocks=blocks).select("query", "node").collect()
+        pairs = {(r.query, r.node) for r in seen}
+        assert sum((q, i) in pairs for q, near in want.items() for _, i in near) >= 0.9 * 300
+    assert graph.join(nodes.select("node"), "node").filter(
+        nn_descent.salt(F.col("node"), parts=4) != nn_descent.salt(F.col("other"), parts=4)).count() == 0
+
+
+def test_nearest_of_one_vector_copies_doubles_and_a_single_query(spark):
+    make = lambda rows, kind="double": spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    assert nn_descent.nearest(make([(0, [1.0, 2.0])])).count() == 0
+    copies = nn_descent.nearest(make([(i, [1.0, 2.0]) for i in range(20)], "float")).orderBy("rank").collect()
+    assert [tuple(r) for r in copies] == [(0, i, i, 0.0) for i in range(1, 11)]
+    close = make([(i, [1.0 + i * 1e-9, 1.0]) for i in range(30)])
+    got = nn_descent.nearest(close).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == list(range(1, 11))
+    assert np.allclose([r.score for r in got], [(1.0 + i * 1e-9) - 1.0 for i in range(1, 11)], rtol=1e-12, atol=0)
+    assert nn_descent.nearest(make([(1, [1.0]), (2, [2.0])])).count() == 0  # no query
 
 
 # the pipeline -------------------------------------------------------------------------------
