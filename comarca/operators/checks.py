@@ -138,12 +138,15 @@ def count_outliers(df: DataFrame, group: str, entity: list[str], floor: int = 70
     return (counts.where(issue.isNotNull())
             .select(group, "entity_count", "total_records", whole(mean).alias("expected_avg"),
                     whole(low).alias("min_acceptable"), whole(high).alias("max_acceptable"),
-                    issue.alias("issue_type")))
+                    issue.alias("issue_type"), F.concat(
+                        F.lit(f"{group} "), F.col(group).cast("string"),
+                        F.when(n < F.lit(low), " has only ").otherwise(" has "), n.cast("string"),
+                        F.lit(" entities (expected ~"), whole(mean).cast("string"), F.lit(")")).alias("warning_message")))
 
 
 def group_completeness(df: DataFrame, group: str, year: str, share: float = 0.5,
-                       min_median: float = 50) -> DataFrame:
-    """Group-years with fewer rows than ``share`` of the group's median year."""
+                       min_median: float = 50, dataset: str = "Data") -> DataFrame:
+    """Group-years with fewer rows than ``share`` of the group's median year, told in a sentence."""
     counts = (df.where(F.col(group).isNotNull()).groupBy(group, year)
               .agg(F.count(F.lit(1)).alias("record_count")))
     # at most one row per year and group from here on
@@ -156,7 +159,9 @@ def group_completeness(df: DataFrame, group: str, year: str, share: float = 0.5,
                    & (F.col("median_records") > min_median))
             .select(group, year, "record_count",
                     F.bround("median_records", 0).cast("bigint").alias("expected_records"),
-                    ratio.alias("completeness_percentage")))
+                    ratio.alias("completeness_percentage"),
+                    F.concat(F.lit(f"{dataset} completeness below {share * 100:g}% of expected for "), F.col(group).cast("string"),
+                             F.lit(" in "), F.col(year).cast("string")).alias("issue_description")))
 
 
 def compare_dictionaries(entities: DataFrame, provinces: DataFrame) -> DataFrame:

@@ -355,7 +355,8 @@ SELECT municipality_code, municipality_name, province_code, autonomous_community
 ORACLES["sign_quadrant"] = body(ALL_NEEDS, mart(0), f"""
 SELECT data_year, {quadrant('NULL')} AS quadrant, {quadrant("'stable'")} AS quadrant_or_stable,
   count(*) AS places FROM core GROUP BY 1, 2, 3""")
-ORACLES["yoy_change"] = body(POP_NEEDS, {**POP, "b": "SELECT * FROM population WHERE data_year <> 1997"}, """
+ORACLES["yoy_change"] = body(POP_NEEDS, {**POP, "b": """SELECT * REPLACE (CASE WHEN data_year = 1997 AND municipality_code % 7 = 3 THEN 2003 ELSE data_year END AS data_year)
+  FROM population"""}, """
 SELECT c.province_code, c.municipality_code, c.data_year, c.population_total,
   p.population_total AS previous_total
 FROM b c LEFT JOIN b p ON c.province_code = p.province_code
@@ -750,6 +751,32 @@ SELECT province_code, municipality_code, data_year,
   CASE WHEN data_year >= 1999 THEN population_female END AS population_female FROM population""")
 ORACLES["stream_new_files"] = """
 SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1"""
+ORACLES["layer_views"] = body(POP_NEEDS, POP, """
+SELECT province_code, data_year, count(*) AS places, CAST(sum(population_total) AS BIGINT) AS population_total
+FROM population GROUP BY 1, 2""")
+ORACLES["staged_lineage"] = body(list(dict.fromkeys(ALL_NEEDS + CONTR_NEEDS)), {**POP, **UNEMP, **CONTR}, " UNION ALL ".join(
+    f"""SELECT '{t}' AS dataset, data_year, {f} AS source_file, '{p}' AS data_source, count(*) AS n, count(*) AS stamped,
+  1 AS loads FROM {t} GROUP BY 1, 2, 3""" for t, f, p in (
+        ("population", "source_file", "INE"),
+        ("unemployment", "data_year || '_' || lpad(CAST(data_month AS VARCHAR), 2, '0') || '_employment.xls'", "SEPE"),
+        ("contracts", "data_year || '_' || lpad(CAST(data_month AS VARCHAR), 2, '0') || '_employment.xls'", "SEPE"))))
+ORACLES["model_created_at"] = body(ALL_NEEDS, {**mart(0), "core1": mart(1)["core"]}, " UNION ALL ".join(
+    f"SELECT '{m}' AS model, count(*) AS n, count(*) AS stamped, 1 AS builds FROM {t}" for m, t in (
+        ("yearly", "rollup"), ("population_trends", "trends"), ("rates", "core"), ("socioeconomic", "core1"))))
+ORACLES["fuzzy_left_join"] = body(UNEMP_NEEDS, {
+    **UNEMP, "names": f"""SELECT DISTINCT upper(trim(municipality_name)) AS source_name, province_code,
+    {norm('upper(trim(municipality_name))')} AS nn FROM unemployment
+  WHERE coalesce(municipality_code, 0) = 0 AND province_code IS NOT NULL AND trim(municipality_name) <> ''""",
+    "dn": f"SELECT *, {norm('municipality_name')} AS dn FROM dictionary",
+    "best": """SELECT n.source_name, n.province_code, d.municipality_code AS matched_code,
+    CASE WHEN nn = dn THEN 'exact_normalized' WHEN contains(dn, nn) THEN 'substring_match' ELSE 'reverse_substring' END
+      AS match_method, CASE WHEN nn = dn THEN 100 WHEN contains(dn, nn) THEN 85 ELSE 80 END AS confidence_score
+  FROM names n JOIN dn d ON n.province_code = d.province_code AND (nn = dn OR (contains(dn, nn) AND length(nn) >= 4)
+    OR (contains(nn, dn) AND length(dn) >= 4))
+  QUALIFY row_number() OVER (PARTITION BY n.source_name, n.province_code ORDER BY confidence_score DESC,
+    length(d.municipality_name), d.municipality_code) = 1"""}, """
+SELECT u.province_code, data_year, matched_code, b.match_method, b.confidence_score, count(*) AS records FROM unemployment u
+LEFT JOIN best b ON upper(trim(u.municipality_name)) = b.source_name AND u.province_code = b.province_code GROUP BY ALL""")
 ORACLES["stream_current_state"] = """
 SELECT 'rows' AS "of", event_type AS name, count(*) AS n,
   CAST(sum(user_id + CASE WHEN event_id % 10 = 0 THEN 1000000 ELSE 0 END) AS BIGINT) AS total FROM events GROUP BY 2
@@ -888,15 +915,24 @@ ORACLES["count_outliers"] = body(POP_NEEDS, {
 SELECT data_year, n AS entity_count, r AS total_records, CAST(round_even(a, 0) AS BIGINT) AS expected_avg,
   CAST(round_even(greatest(a - d, 0), 0) AS BIGINT) AS min_acceptable,
   CAST(round_even(a + d, 0) AS BIGINT) AS max_acceptable,
-  CASE WHEN n < greatest(a - d, 0) THEN 'too_few_entities' ELSE 'too_many_entities' END AS issue_type
+  CASE WHEN n < greatest(a - d, 0) THEN 'too_few_entities' ELSE 'too_many_entities' END AS issue_type,
+  'data_year ' || data_year || CASE WHEN n < greatest(a - d, 0) THEN ' has only ' ELSE ' has ' END || n
+    || ' entities (expected ~' || CAST(round_even(a, 0) AS BIGINT) || ')' AS warning_message
 FROM c CROSS JOIN st WHERE n < greatest(a - d, 0) OR n > a + d""")
-ORACLES["group_completeness"] = body(UNEMP_NEEDS, {
-    **UNEMP, "c": """SELECT province_name, data_year, count(*) AS n FROM unemployment
+def completeness(table: str, dataset: str) -> tuple[dict[str, str], str]:
+    return {"c": f"""SELECT province_name, data_year, count(*) AS n FROM {table}
   WHERE province_name IS NOT NULL GROUP BY 1, 2""",
-    "m": "SELECT province_name, quantile_cont(n, 0.5) AS med FROM c GROUP BY 1"}, f"""
+            "m": "SELECT province_name, quantile_cont(n, 0.5) AS med FROM c GROUP BY 1"}, f"""
 SELECT province_name, data_year, n AS record_count, CAST(round_even(med, 0) AS BIGINT) AS expected_records,
-  {half_up('n * 200', 'med * 2', 1)} AS completeness_percentage
-FROM c JOIN m USING (province_name) WHERE n < med * 0.99 AND med > 20""")
+  {half_up('n * 200', 'med * 2', 1)} AS completeness_percentage,
+  '{dataset} completeness below 99% of expected for ' || province_name || ' in ' || data_year AS issue_description
+FROM c JOIN m USING (province_name) WHERE n < med * 0.99 AND med > 20"""
+
+
+for _name, _needs, _ctes, _args in (("", UNEMP_NEEDS, UNEMP, ("unemployment", "Data")),
+                                    ("_contracts", CONTR_NEEDS, CONTR, ("contracts", "Contracts data"))):
+    _more, _sql = completeness(*_args)
+    ORACLES["group_completeness" + _name] = body(_needs, {**_ctes, **_more}, _sql)
 
 
 def profile(table: str, test: str) -> str:
@@ -905,7 +941,10 @@ def profile(table: str, test: str) -> str:
   count(*) FILTER (WHERE municipality_code_completed) AS codes_completed,
   {pct('count(*) FILTER (WHERE municipality_code_completed)', 'count(*)')} AS code_completion_rate,
   count(*) FILTER (WHERE {test}) AS percentage_issues, count(DISTINCT province_name) AS provinces_covered,
-  min(data_year) AS earliest_year, max(data_year) AS latest_year FROM {table}"""
+  min(data_year) AS earliest_year, max(data_year) AS latest_year,
+  'Data quality of {table}: ' || count(*) FILTER (WHERE municipality_code_completed) || ' codes completed ('
+    || coalesce(CAST({pct('count(*) FILTER (WHERE municipality_code_completed)', 'count(*)')} AS VARCHAR), '-') || '%), '
+    || count(*) FILTER (WHERE {test}) || ' impossible percentages' AS summary FROM {table}"""
 
 
 ORACLES["quality_summary"] = body(list(dict.fromkeys(UNEMP_NEEDS + CONTR_NEEDS)), {**UNEMP, **CONTR},
@@ -913,17 +952,18 @@ ORACLES["quality_summary"] = body(list(dict.fromkeys(UNEMP_NEEDS + CONTR_NEEDS))
     + " UNION ALL "
     + profile("contracts", "men_contracts_percentage > 100 OR women_contracts_percentage > 100 "
                            "OR permanent_contracts_percentage > 100"))
-ORACLES["completion_effectiveness"] = body(UNEMP_NEEDS, UNEMP, f"""
+for _name, _needs, _ctes, _table in (("", UNEMP_NEEDS, UNEMP, "unemployment"), ("_contracts", CONTR_NEEDS, CONTR, "contracts")):
+    ORACLES["completion_effectiveness" + _name] = body(_needs, _ctes, f"""
 SELECT * FROM (SELECT count(*) AS total_records, count(municipality_code) AS records_with_code,
   count(*) FILTER (WHERE municipality_code_completed) AS codes_completed,
   {pct('count(municipality_code)', 'count(*)')} AS code_completeness_rate,
   {pct('count(*) FILTER (WHERE municipality_code_completed)', 'count(*)')} AS completion_rate
-FROM unemployment) x WHERE code_completeness_rate < 99.9""")
+FROM {_table}) x WHERE code_completeness_rate < 99.9""")
 _side = ("SELECT province_code, municipality_name, min(municipality_code) AS lo, max(municipality_code) AS hi "
          "FROM {} WHERE municipality_code IS NOT NULL {} GROUP BY 1, 2")
 ORACLES["mapping_consistency"] = body(list(dict.fromkeys(UNEMP_NEEDS + CONTR_NEEDS)), {
     **UNEMP, **CONTR, "l": _side.format("unemployment", ""),
-    "r": _side.format("contracts", "AND NOT municipality_code_completed")}, """
+    "r": _side.format("contracts", "")}, """
 SELECT coalesce(l.province_code, r.province_code) AS province_code,
   coalesce(l.municipality_name, r.municipality_name) AS municipality_name, l.lo AS left_code,
   l.hi AS left_last, r.lo AS right_code, r.hi AS right_last
@@ -931,7 +971,8 @@ FROM l FULL OUTER JOIN r ON l.municipality_name = r.municipality_name
   AND l.province_code IS NOT DISTINCT FROM r.province_code
 WHERE l.lo IS NULL OR r.lo IS NULL OR l.lo <> l.hi OR r.lo <> r.hi OR l.lo <> r.lo""")
 ORACLES["dictionary_validation"] = body(["dictionary", "provinces"], {
-    "pr": "SELECT * FROM provinces WHERE province_code % 7 <> 3",
+    "pr": """SELECT * REPLACE (CASE WHEN province_code % 7 = 3 THEN province_code + 100 ELSE province_code END AS province_code)
+  FROM provinces""",
     "v": """SELECT NOT EXISTS (SELECT autonomous_community_code FROM dictionary EXCEPT
       SELECT autonomous_community_code FROM pr) AND NOT EXISTS (SELECT autonomous_community_code FROM pr
       EXCEPT SELECT autonomous_community_code FROM dictionary) AS c,

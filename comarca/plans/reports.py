@@ -25,11 +25,15 @@ def quality_profile(staged: DataFrame, dataset: str, shares: list[str]) -> DataF
 
 
 def quality_summary(unemployment: DataFrame, contracts: DataFrame) -> DataFrame:
+    """The profiles of both tables, each with a sentence that sums it up."""
+    said = F.concat(F.lit("Data quality of "), "dataset", F.lit(": "), F.col("codes_completed").cast("string"),
+                    F.lit(" codes completed ("), F.coalesce(F.col("code_completion_rate").cast("string"), F.lit("-")),
+                    F.lit("%), "), F.col("percentage_issues").cast("string"), F.lit(" impossible percentages"))
     return (quality_profile(unemployment, "unemployment",
                             ["men_unemployment_percentage", "women_unemployment_percentage"])
             .unionByName(quality_profile(contracts, "contracts", [
                 "men_contracts_percentage", "women_contracts_percentage",
-                "permanent_contracts_percentage"])))
+                "permanent_contracts_percentage"]))).withColumn("summary", said)
 
 
 def sheet_quality(tidy: DataFrame, data_type: str, v: Vintages) -> DataFrame:

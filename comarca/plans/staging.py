@@ -11,6 +11,7 @@ from comarca.functions import fixed_values as fv
 from comarca.functions.measures import non_negative, null_as_zero_sum, pct
 from comarca.functions.text import clean_key, local_code, text_code
 from comarca.operators.lookup import complete_codes, resolve_names
+from comarca.sources.lineage import carried
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,7 @@ def stage_population(raw: DataFrame, b: Bounds = DEFAULT) -> DataFrame:
                     text_code(F.col("cmun")).alias("municipality_code"),
                     "municipality_name",
                     *[non_negative(F.col(c), "bigint").alias(c) for c in fv.POPULATION_MEASURES],
-                    "data_year", "source_file"))
+                    "data_year", "source_file", *carried(raw)))
 
 
 def valid_employment(raw: DataFrame, total: str, b: Bounds = DEFAULT) -> DataFrame:
@@ -86,7 +87,7 @@ def _stage(raw: DataFrame, measures: list[str], sums: dict[str, list[str]],
         # totals read the raw parts, so a negative part still counts here
         *[_whole(null_as_zero_sum(*[F.col(c) for c in parts])).alias(name)
           for name, parts in sums.items()],
-        "source_file")
+        "source_file", *carried(raw))
 
 
 def _zero(*columns: str) -> Column:

@@ -22,3 +22,16 @@ def stamp(df: DataFrame, source: str, source_file: Column | None = None,
         columns["source_file"] = source_file
     columns["ingestion_timestamp"] = F.current_timestamp() if at is None else at
     return df.withColumns(columns)
+
+
+#: Columns of a stamp that staging carries along.
+CARRIED = ("data_source", "data_source_full", "data_category", "ingestion_timestamp")
+
+
+def carried(df: DataFrame) -> list[str]:
+    return [c for c in CARRIED if c in df.columns]
+
+
+def with_created_at(df: DataFrame) -> DataFrame:
+    """When a model was built: one time for all its rows."""
+    return df.withColumn("created_at", F.current_timestamp())
