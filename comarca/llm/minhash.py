@@ -5,9 +5,11 @@ one place per coordinate, gives all signature coordinates.  Bands of coordinates
 buckets.  Documents with equal shingle sets are one class with one representative, so copies
 cost nothing further.  In every bucket the members are compared with one centre per round, the most central first
 (it shares the largest buckets);
-members that a link already joins are not compared again, and what is still apart after the
-rounds is compared pair by pair, but only across components.  Links are confirmed on full
-shingle sets, and components grow by label propagation in Spark.
+members that a link already joins are not compared again.  Members of buckets that are still
+apart after the rounds meet by an exact prefix join: with shingles ranked rarest first, two
+sets of the wanted similarity share one of the first few, at places that leave room for the
+rest.  Links are confirmed on full shingle sets, and components grow by label propagation in
+Spark.
 """
 
 from __future__ import annotations
@@ -24,8 +26,12 @@ from comarca.llm.shingles import in_chunks, mix, shingle_sets
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32 < 5e-8.
 BANDS, ROWS = 32, 4
 SHINGLE, PERCENT = 2, 80
-#: Rounds of comparing buckets with one centre, before pairs across components.
+#: Rounds of comparing buckets with one centre, before the prefix join.
 STAR_ROUNDS = 3
+#: A value that more than this part of all rows has is broadcast, so there are no more such values.
+HOT = 100_000
+#: Sets of one shingle that meet others in one task.
+HOLDERS = 4096
 #: Shingles whose signatures are computed together.
 SIGNED = 1 << 15
 
@@ -207,12 +213,12 @@ def components(classes: DataFrame, sets_of, percent: int) -> DataFrame:
         if n < STAR_ROUNDS:
             near = similar_size("n_shingles", "centre.n_shingles", percent)
             pairs = (held.filter((F.col("label") != F.col("centre.label")) & near)
-                     .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")))
+                     .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
+                     .distinct())
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
         else:
-            pairs = across(held.drop("centre"), percent)
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = prefix_pairs(held.select("node", "label").distinct(), sets, percent)
         pairs = keep_table(pairs, "pairs")
         if pairs.isEmpty():
             continue
@@ -222,22 +228,88 @@ def components(classes: DataFrame, sets_of, percent: int) -> DataFrame:
     return labels
 
 
-def across(held: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one bucket that are in different components and of similar size.
+def join_counted(df: DataFrame, counted: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join with a lookup that says in ``n`` how many of the ``total`` rows of ``df`` have a key.
 
-    The largest component of a bucket meets only the members outside it.
+    Keys with more than a ``HOT``-th of the rows are at most ``HOT``: these are broadcast, and
+    no other key is heavy for a task.
     """
-    sizes = held.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    marked = held.join(largest, "bucket")
-    outside = marked.filter("label <> main").select(
-        "bucket", F.col("node").alias("p"), F.col("label").alias("p_label"), F.col("n_shingles").alias("p_n"))
-    inside = marked.select("bucket", F.col("node").alias("q"), F.col("label").alias("q_label"),
-                           F.col("n_shingles").alias("q_n"), "main")
-    once = (F.col("q_label") == F.col("main")) | (F.col("p") < F.col("q"))
-    return (outside.join(inside, "bucket")
-            .filter((F.col("p_label") != F.col("q_label")) & once & similar_size("p_n", "q_n", percent))
-            .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")))
+    heavy = F.col("n") > max(1, total // HOT)
+    hot = df.join(F.broadcast(counted.filter(heavy)), key)
+    rest = df.join(F.broadcast(counted.filter(heavy).select(key)), key, "left_anti")
+    return hot.unionByName(rest.join(counted.filter(~heavy), key))
+
+
+def spread_sets(sets: DataFrame) -> DataFrame:
+    """(node, size, shingle) of ``sets(node, set)``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, held in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                shingles = np.frombuffer(held.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(shingles), node)), pa.array(np.full(len(shingles), len(shingles))),
+                     pa.array(shingles)], ["node", "size", "shingle"])
+
+    return sets.select("node", "set").mapInArrow(run, "node long, size long, shingle long")
+
+
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, size, at, shingle): what of each set may be the first shingle that it shares with a
+    set of that similarity, and its place, the rarest shingle first."""
+    spread = spread_sets(sets)
+    counted = keep_table(spread.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "frequency")
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranked = (join_counted(spread, counted.filter("n > 1"), "shingle", total).groupBy("node", "size")
+              .agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("held")))
+    # shingles that no other set has come first, but cannot be shared
+    alone = F.col("size") - F.size("held")
+    first = F.expr(f"size - (size * {percent} + 99) div 100 + 1")
+    wanted = F.slice("held", F.lit(1), F.greatest(F.lit(0), first - alone).cast("int"))
+    return ranked.select("node", "size", alone.alias("alone"), F.posexplode(wanted)).select(
+        "node", "size", (F.col("alone") + F.col("pos")).alias("at"), F.col("col.shingle").alias("shingle"))
+
+
+def prefix_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of ``apart(node, label)`` with different labels, among them every pair
+    of that similarity.
+
+    Of such a pair the smaller set has the first shared shingle so early that as much as the two
+    must share can still follow; this bounds what either side sends.  Holders of a shingle that
+    are joined already do not meet: the largest component meets the others only.  A shingle of
+    many holders is dealt over tasks.
+    """
+    apart = keep_table(apart, "apart")
+    entries = keep_table(prefixes(sets.join(apart, "node", "left_semi"), percent).join(apart, "node"), "prefixes")
+    by_label = entries.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("n"))
+    holders = keep_table(by_label.groupBy("shingle").agg(
+        F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"),
+        F.count(F.lit(1)).alias("labels")).filter("labels > 1").drop("labels"), "holders")
+    held = join_counted(entries, holders, "shingle", entries.count()).select(
+        "*", (F.lit(1) + F.col("n") / HOLDERS).cast("int").alias("parts"), (F.col("label") != F.col("main")).alias("out"))
+    early = F.expr(f"at < size - (2 * {percent} * size + {99 + percent}) div {100 + percent} + 1")
+
+    def dealt(side: DataFrame, to_all: bool, name: str) -> DataFrame:
+        part = (F.explode(F.sequence(F.lit(0), F.col("parts") - 1)) if to_all
+                else F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        return side.select("shingle", part.alias("part"), *[F.col(c).alias(f"{name}_{c}")
+                                                            for c in ("node", "label", "size", "at")])
+
+    small, large = held.filter(early), held
+    room = F.least(F.col("p_size") - F.col("p_at"), F.col("q_size") - F.col("q_at"))
+    fits = ((F.col("p_label") != F.col("q_label"))
+            & ((F.col("p_size") < F.col("q_size")) | ((F.col("p_size") == F.col("q_size")) & (F.col("p_node") < F.col("q_node"))))
+            & (100 * F.col("p_size") >= percent * F.col("q_size"))
+            & ((100 + percent) * room >= percent * (F.col("p_size") + F.col("q_size"))))
+
+    def met(p: DataFrame, q: DataFrame) -> DataFrame:
+        p, q = p.withColumnsRenamed({"shingle": "_shingle", "part": "_part"}), q
+        same = (F.col("shingle") == F.col("_shingle")) & (F.col("part") == F.col("_part"))
+        return p.join(q, same & fits).select(F.least("p_node", "q_node").alias("a"),
+                                             F.greatest("p_node", "q_node").alias("b"))
+
+    outside = met(dealt(small.filter("out"), True, "p"), dealt(large, False, "q"))
+    inside = met(dealt(small.filter("not out"), False, "p"), dealt(large.filter("out"), True, "q"))
+    return outside.unionByName(inside).distinct()
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE,

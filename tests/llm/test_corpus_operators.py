@@ -123,11 +123,39 @@ def test_near_duplicates_query(spark, sf_dir):
     assert got == components_by_hand(texts_of(table(spark, sf_dir, "documents")), 2)
 
 
-def test_pairs_across_components_meet_the_largest_once(spark):
-    held = spark.createDataFrame([(1, n, label, 10) for n, label in ((1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 5))],
-                                 "bucket long, node long, label long, n_shingles long")
-    got = sorted((r.a, r.b) for r in minhash.across(held, 80).collect())
-    assert got == sorted([(a, b) for a in (1, 2, 3) for b in (4, 5, 6)] + [(4, 5), (4, 6)])
+@pytest.mark.parametrize(("hot", "holders"), [(minhash.HOT, minhash.HOLDERS), (20, 3)])
+def test_prefix_pairs_lose_no_link_and_skip_what_cannot_be_one(spark, monkeypatch, hot, holders):
+    monkeypatch.setattr(minhash, "HOT", hot)
+    monkeypatch.setattr(minhash, "HOLDERS", holders)
+    rng = np.random.default_rng(3)
+    base = np.arange(1, 201, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sets = []
+    for k in range(260):  # similarities to the base, and to each other, on both sides of 0.8
+        drop, new = rng.integers(0, 40), rng.integers(0, 40)
+        sets.append(np.union1d(rng.permutation(base)[drop:], rng.integers(0, 1 << 62, new, dtype=np.uint64)))
+    labels = [0 if k < 90 else k for k in range(len(sets))]
+    apart = spark.createDataFrame(list(enumerate(labels)), "node long, label long")
+    table_ = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(sets)], "node long, set binary")
+    pairs = minhash.prefix_pairs(apart, table_, 80)
+    got = {(r.a, r.b) for r in pairs.collect()}
+    want = set()
+    for a in range(len(sets)):
+        for b in range(a):
+            shared = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if labels[a] != labels[b] and 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared):
+                want.add((b, a))
+    assert len(want) > 100 and want <= got
+    assert all(labels[a] != labels[b] for a, b in got)
+    assert {(r.a, r.b) for r in minhash.confirmed(pairs, table_, 80).collect()} == want
+
+
+def test_a_family_below_the_threshold_makes_few_pairs(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 300, dtype=np.uint64)
+    sets = [np.union1d(rng.permutation(base)[45:], rng.integers(0, 1 << 62, 45, dtype=np.uint64)) for _ in range(2000)]
+    apart = spark.createDataFrame([(k, k) for k in range(2000)], "node long, label long")
+    table_ = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(sets)], "node long, set binary")
+    assert minhash.prefix_pairs(apart, table_, 80).count() == 0
 
 
 # repeated bytes -----------------------------------------------------------------------------
