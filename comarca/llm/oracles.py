@@ -12,7 +12,7 @@ whole AS (
 classes AS (
   SELECT said, n_turns, min(conv_id) AS conv_id, count(*) AS copies FROM whole GROUP BY said, n_turns),
 prefixes AS (
-  SELECT DISTINCT said[1:k] AS said FROM classes, range(1, 10000) AS r(k) WHERE k < n_turns)
+  SELECT DISTINCT said[1:k] AS said FROM (SELECT said, unnest(range(1, n_turns)) AS k FROM classes))
 SELECT conv_id, CAST((t.pos - 1) // 1024 AS INTEGER) AS part, n_turns, copies,
        string_agg('<|' || t.role || '|>' || chr(10) || t.text || chr(10), '' ORDER BY t.pos) AS rendered
 FROM classes JOIN t USING (conv_id)
