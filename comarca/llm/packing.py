@@ -2,9 +2,10 @@
 
 Documents become token ids.  Every full window of a document is a sequence of its own; what
 is left of each document, shorter than a window, is packed with lexically close others.
-These remainders are dealt evenly into shards.  A shard has an inverted BM25 index (the
-document frequencies come from the whole corpus); a seed document fetches its unused
-neighbours in score order, and they greedily fill its window.  The last one is cut where the
+A bounded sample gives the main directions of its weighted ids and a tree of cuts along them;
+every remainder falls into a leaf of that tree, neighbouring leaves make a shard, and a leaf too
+large for one shard is dealt over several.  A shard has an inverted BM25 index (the document frequencies come from the whole corpus); a
+seed document fetches its unused neighbours in score order, and they greedily fill its window.  The last one is cut where the
 window ends and its rest is the next seed.  What is left at the end of a shard is cut into
 powers of two, which need no padding.
 """
@@ -24,16 +25,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from comarca.llm.common import keep_table, rows_from, salt
+from comarca.llm.common import keep_table, rows_from
 
 WINDOW = 2048
 #: Remainders in a shard, on average.
 SHARD_DOCUMENTS = 1024
 END_OF_TEXT = 1
+#: Documents from which directions and cuts are taken (all others only follow them), how many
+#: of these give the directions, characters read of each, directions, levels of cuts.
+SAMPLE, FITTED, SAMPLED_TEXT = 4096, 1024, 8192
+DIRECTIONS, LEVELS = 8, 9
 #: Documents tokenized together.
 BATCH = 2000
 K1, B = 1.2, 0.75
-#: Encoded chunks remembered between batches of a task, and the longest of them.
+#: Encoded chunks and words remembered between batches of a task, and the longest of them.
 REMEMBERED, LONGEST = 700_000, 64
 #: Characters for which a text may be split into words before the tokenizer sees
 #: them (no white space, case or composition rules beyond Latin letters).
@@ -42,6 +47,27 @@ PLAIN = re.compile("[\\t\\n\\r -~\\xa1-\\xac\\xae-\\u012f\\u0131-\\u024f]*")
 WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[^\\W\\d_²³¹¼½¾]+|[\\d²³¹¼½¾]|(?:[^\\w\\s]|_)+")
 
 
+class Chunks(dict):
+    """Ids (16 bits each) of chunks between white space, found when first asked for: those of
+    their words, of which only new ones go to the vocabulary's model (as byte symbols, which is
+    all that its other steps make of a plain word)."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def __missing__(self, chunk: str) -> bytes:
+        words = [chunk] if chunk.isalpha() else WORD.findall(chunk)
+        if len(words) > 1:
+            ids = b"".join([self[w] for w in words])
+        else:
+            symbols = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(SYMBOLS)
+            ids = array("H", [t.id for t in self.tokenize(symbols)]).tobytes()
+        if len(self) < REMEMBERED and len(chunk) <= LONGEST:
+            self[chunk] = ids
+        return ids
+
+
 class WordTokenizer:
     """Ids (16 bits each) of texts.  No word of this vocabulary spans white space, so each chunk
     between white space is encoded once and remembered; a text that is not plain goes to the
@@ -52,35 +78,18 @@ class WordTokenizer:
         self.size = self.tokenizer.get_vocab_size()
         if self.size > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
-        self.known: dict[str, bytes] = {}
+        self.known = Chunks(self.tokenizer.model)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes()
                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks: those of their words, of which only new ones go to the vocabulary's
-        model (as byte symbols, which is all that its other steps make of a plain word)."""
-        split = [WORD.findall(c) for c in chunks]
-        words = {w: self.known[w] for w in set().union(*split) if w in self.known}
-        tokenize = self.tokenizer.model.tokenize
-        for w in set().union(*split).difference(words):
-            symbols = w if w.isascii() else w.encode().decode("latin-1").translate(SYMBOLS)
-            words[w] = array("H", [t.id for t in tokenize(symbols)]).tobytes()
-        return [words[w[0]] if len(w) == 1 else b"".join(map(words.__getitem__, w)) for w in split]
-
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [("<|" not in t) and PLAIN.fullmatch(t) is not None for t in texts]
-        chunks = [t.lower().split() if p else [] for t, p in zip(texts, plain, strict=True)]
         rest = iter(self._library([t for t, p in zip(texts, plain, strict=True) if not p]))
-        distinct = set().union(*chunks)
-        ids = {c: self.known[c] for c in distinct if c in self.known}
-        fresh = [c for c in distinct if c not in ids]
-        ids.update(zip(fresh, self._chunks(fresh), strict=True))
-        if len(self.known) < REMEMBERED:
-            self.known.update((c, ids[c]) for c in fresh if len(c) <= LONGEST)
-        return [b"".join(map(ids.__getitem__, c)) if p else next(rest)
-                for c, p in zip(chunks, plain, strict=True)]
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, t.lower().split())) if p else next(rest)
+                for t, p in zip(texts, plain, strict=True)]
 
 
 def byte_symbols() -> dict[int, str]:
@@ -99,32 +108,88 @@ def crc_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+class Leaves:
+    """A tree of cuts along the main directions of the sample's weighted ids."""
+
+    def __init__(self, sample: list[np.ndarray]):
+        """``sample``: the distinct ids of each document."""
+        self.weights = np.zeros((1 << 16, DIRECTIONS), np.float32)
+        self.axis, self.cut = np.zeros(1 << LEVELS, np.int64), np.zeros(1 << LEVELS)
+        fitted = sample[:FITTED]
+        if not fitted:
+            return
+        frequency = np.bincount(np.concatenate(fitted), minlength=1 << 16)
+        used = np.flatnonzero((frequency > 2) & (frequency < len(fitted)))
+        idf = np.log1p((len(fitted) - frequency[used] + 0.5) / (frequency[used] + 0.5)).astype(np.float32)
+        held = np.zeros((len(fitted), 1 << 16), bool)
+        for row, ids in zip(held, fitted, strict=True):
+            row[ids] = True
+        x = held[:, used] * idf
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        x -= x.mean(axis=0)
+        ways = x.T @ np.linalg.eigh(x @ x.T)[1][:, ::-1][:, :DIRECTIONS]
+        ways /= np.maximum(np.linalg.norm(ways, axis=0), 1e-9)
+        self.weights[used, :ways.shape[1]] = ways * idf[:, None]
+        points = np.array([self.point(ids) for ids in sample])
+        self._grow(points, 1)
+
+    def _grow(self, points: np.ndarray, node: int) -> None:
+        if node >= len(self.axis) or len(points) < 2:
+            return
+        axis = self.axis[node] = points.var(axis=0).argmax()
+        self.cut[node] = np.median(points[:, axis])
+        over = points[:, axis] > self.cut[node]
+        self._grow(points[~over], 2 * node)
+        self._grow(points[over], 2 * node + 1)
+
+    def point(self, ids: np.ndarray) -> np.ndarray:
+        return self.weights[ids].sum(axis=0) / np.sqrt(len(ids))
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        """The leaf of each point; leaves with near numbers are near."""
+        node = np.ones(len(points), np.int64)
+        for _ in range(LEVELS):
+            node = 2 * node + (points[np.arange(len(points)), self.axis[node]] > self.cut[node])
+        return node - (1 << LEVELS)
+
+
+def fit_leaves(df: DataFrame, key: str, text: str, json: str) -> Leaves:
+    """From the ``SAMPLE`` documents whose keys have the least hashes."""
+    rows = (df.select(F.xxhash64(f"`{key}`").alias("h"),
+                      F.substring(f"`{text}`", 1, SAMPLED_TEXT).alias("t"))
+            .orderBy("h", "t").limit(SAMPLE).collect())  # bounded by SAMPLE and SAMPLED_TEXT
+    ids = WordTokenizer(json).encode([r.t or "" for r in rows])
+    return Leaves([np.unique(np.append(np.frombuffer(b, "<u2"), np.uint16(END_OF_TEXT))) for b in ids])
+
+
 def tokenize(df: DataFrame, key: str, text: str, vocabulary: str, window: int) -> DataFrame:
     """Full windows, remainders with their ids, and per task the document frequency of each id."""
     with open(public_tokenizers.path(vocabulary), encoding="utf-8") as f:
         json = f.read()
-    book = df.sparkSession.sparkContext.broadcast(json)  # bounded: one vocabulary
+    # bounded: one vocabulary and DIRECTIONS numbers for each of its ids
+    book = df.sparkSession.sparkContext.broadcast((json, fit_leaves(df, key, text, json)))
     mark = hash(json)
     key_type = df.select(f"`{key}`").schema[0].dataType.simpleString()
     schema = (f"row long, `{key}` {key_type}, start long, length long, ids_crc32 long, doc_tokens long, "
-              "sequence_id long, ids binary, terms array<int>, documents array<long>")
+              "sequence_id long, ids binary, leaf int, terms array<int>, documents array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if mark not in _tokenizers:
             _tokenizers.clear()
-            _tokenizers[mark] = WordTokenizer(book.value)
-        tokenizer = _tokenizers[mark]
+            _tokenizers[mark] = WordTokenizer(book.value[0])
+        tokenizer, leaves = _tokenizers[mark], book.value[1]
         found = np.zeros(1 << 16, np.int64)
         sequence = TaskContext.get().partitionId() << 32
         key_arrow = None
         for batch, first in rows_from(batches):
             key_arrow = batch.schema.field(0).type
-            keys, at, rows = batch.column(0), [], []
+            keys, at, rows, points = batch.column(0), [], [], []
             for begin in range(0, batch.num_rows, BATCH):  # bounds what is held of a batch
                 texts = [t or "" for t in batch.column(1).slice(begin, BATCH).to_pylist()]
                 for k, blob in enumerate(tokenizer.encode(texts), begin):
                     ids = np.append(np.frombuffer(blob, "<u2"), np.uint16(END_OF_TEXT))
-                    found[np.unique(ids)] += 1
+                    distinct = np.unique(ids)
+                    found[distinct] += 1
                     full = len(ids) // window * window
                     for start in range(0, full, window):
                         at.append(k)
@@ -135,23 +200,27 @@ def tokenize(df: DataFrame, key: str, text: str, vocabulary: str, window: int) -
                         at.append(k)
                         rows.append((first + k, full, len(ids) - full, None, len(ids), None,
                                      ids[full:].tobytes()))
+                        points.append(leaves.point(distinct))
             columns = list(zip(*rows, strict=True)) or [[]] * 7
             row, start, length, crc, total, seq, ids = (
                 pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 6 + [pa.binary()], strict=True))
+            leaf = np.zeros(len(at), np.int32)
+            rest = ids.is_valid().to_numpy(zero_copy_only=False)
+            leaf[rest] = leaves.of(np.array(points).reshape(-1, DIRECTIONS))
             yield pa.RecordBatch.from_arrays(
-                [row, keys.take(pa.array(at, pa.int64())), start, length, crc, total, seq, ids,
+                [row, keys.take(pa.array(at, pa.int64())), start, length, crc, total, seq, ids, pa.array(leaf),
                  pa.nulls(len(at), pa.list_(pa.int32())), pa.nulls(len(at), pa.list_(pa.int64()))],
-                ["row", key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "ids", "terms",
-                 "documents"])
+                ["row", key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "ids", "leaf",
+                 "terms", "documents"])
         if key_arrow is not None:
             terms = np.flatnonzero(found)
             lone = pa.nulls(1, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [lone, pa.nulls(1, key_arrow), lone, lone, lone, lone, lone, pa.nulls(1, pa.binary()),
-                 pa.array([terms.tolist()], pa.list_(pa.int32())),
+                 pa.nulls(1, pa.int32()), pa.array([terms.tolist()], pa.list_(pa.int32())),
                  pa.array([found[terms].tolist()], pa.list_(pa.int64()))],
-                ["row", key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "ids", "terms",
-                 "documents"])
+                ["row", key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "ids", "leaf",
+                 "terms", "documents"])
 
     return df.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
 
@@ -229,6 +298,24 @@ def cut_in_powers(pieces: list[tuple[int, int, int]]) -> Iterator[list[tuple[int
         yield out
 
 
+def shards_of_leaves(sizes: list[tuple[int, int]], shard_documents: int) -> list[tuple[int, int, int]]:
+    """(leaf, first shard, number of shards) of leaves (number, documents): large leaves have shards of
+    their own, the others share one until it has ``shard_documents``."""
+    out, shard, held = [], 0, 0
+    for leaf, n in sorted(sizes):
+        if n > shard_documents:
+            parts = -(-n // shard_documents)
+            shard += held > 0
+            out.append((leaf, shard, parts))
+            shard, held = shard + parts, 0
+            continue
+        if held + n > shard_documents:
+            shard, held = shard + 1, 0
+        out.append((leaf, shard, 1))
+        held += n
+    return out
+
+
 def pack(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = "word_bpe_49k.json",
          window: int = WINDOW, shard_documents: int = SHARD_DOCUMENTS) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
@@ -244,13 +331,17 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str
                .select(F.explode(F.arrays_zip("terms", "documents")).alias("x")).select("x.*")
                .groupBy("terms").agg(F.sum("documents").alias("documents")).collect())
     tails = rows.filter("ids is not null")
-    n_tails, mean = tails.agg(F.count(F.lit(1)), F.avg("length")).first()
+    mean = tails.agg(F.avg("length")).first()[0]
     n_docs = rows.filter("doc_tokens is not null and start + length = doc_tokens").count()
     frequency = np.zeros(1 << 16)
     for r in counted:
         frequency[r.terms] = r.documents
     idf = np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5))
-    shards = max(1, round(n_tails / shard_documents))
+    # one row per leaf at most, as is the broadcast below
+    leaves = tails.groupBy("leaf").count().collect()
+    places = df.sparkSession.createDataFrame(
+        shards_of_leaves([(r["leaf"], r["count"]) for r in leaves], shard_documents),
+        "leaf int, first long, parts long")
     key_type = rows.select(f"`{key}`").schema[0].dataType.simpleString()
     out = f"`{key}` {key_type}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -269,8 +360,10 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str
                                            "offset"])
 
     # shard numbers stand above the bits that count the sequences of a shard
-    packed = (tails.withColumn("shard", salt(F.col("row"), parts=shards)).groupBy("shard")
-              .applyInPandas(run, out))
+    dealt = tails.join(F.broadcast(places), "leaf").select(
+        "row", key, "start", "doc_tokens", "ids",
+        (F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts"))).alias("shard"))
+    packed = dealt.groupBy("shard").applyInPandas(run, out)
     full = rows.filter("sequence_id is not null").select(
         key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))
     return full.unionByName(packed)

@@ -270,7 +270,17 @@ def earlier_windows(array_bytes: int):
     return run
 
 
-def cleaned(owners: int, with_text: bool):
+def whole_runs(data: np.ndarray, cut: np.ndarray) -> list[dict]:
+    """Runs (start from 1, length) of the bytes that are not cut, without characters that lost one."""
+    head = (data & 0xC0) != 0x80
+    character = np.cumsum(head)
+    hurt = np.zeros(len(data) + 1, bool)
+    hurt[character[cut]] = True
+    edge = np.flatnonzero(np.diff(~hurt[character], prepend=False, append=False))
+    return [{"start": a + 1, "length": b - a} for a, b in edge.reshape(-1, 2).tolist()]
+
+
+def cleaned(owners: int, with_runs: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         pieces = pieces_of(left, right, owners)
         shard, answers = pieces.shard, answers_of(right, 1)
@@ -289,31 +299,33 @@ def cleaned(owners: int, with_text: bool):
         np.add.at(cover, starts, 1)
         np.add.at(cover, starts + WIDTH, -1)
         removed = np.cumsum(cover[:-1]) > 0
-        count, spans, sha, original, texts = [], [], [], [], []
+        count, spans, sha, original, runs = [], [], [], [], []
         for a, b in zip(shard.starts.tolist(), shard.ends.tolist(), strict=True):
             cut, data = removed[a:b], shard.data[a:b]
             count.append(int(cut.sum()))
             spans.append(int(np.count_nonzero(np.diff(cut, prepend=False).astype(bool) & cut)))
             kept = data[~cut].tobytes() if count[-1] else data.tobytes()
             sha.append(hashlib.sha256(kept).hexdigest())
-            if with_text:
-                original.append(hashlib.sha256(data.tobytes()).hexdigest())
-                texts.append(kept.decode("utf-8", "ignore"))
+            if with_runs:
+                original.append(hashlib.sha256(data.tobytes()).hexdigest() if count[-1] else None)
+                runs.append(whole_runs(data, cut) if count[-1] else None)
         out = {"key": pa.array(left["keys"][0].as_py(), pa.int64()),
                "n_bytes": pa.array(shard.ends - shard.starts, pa.int64()),
                "n_removed": pa.array(count, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
                "kept_sha256": pa.array(sha, pa.string())}
-        if with_text:
-            out |= {"original_sha256": pa.array(original, pa.string()), "kept_text": pa.array(texts, pa.string())}
+        if with_runs:
+            out |= {"original_sha256": pa.array(original, pa.string()),
+                    "kept_runs": pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())])))}
         return pa.table(out)
     return run
 
 
-def repeated_bytes(df: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False,
+def repeated_bytes(df: DataFrame, key: str = "doc_id", text: str = "text", with_runs: bool = False,
                    shard_bytes: int = SHARD_BYTES, owner_bytes: int = OWNER_BYTES,
                    array_bytes: int = ARRAY_BYTES) -> DataFrame:
-    """Per row: key, n_bytes, n_removed, n_spans, kept_sha256 (and with ``with_text`` the digest of
-    the original and the kept text, without characters that lost a byte).
+    """Per row: key, n_bytes, n_removed, n_spans, kept_sha256 (and with ``with_runs``, for rows that lose
+    bytes, the digest of the original and the runs of bytes that stay, without characters that
+    lost one).
 
     Null and empty texts, and texts under ``WIDTH`` bytes, lose nothing.  Rows that repeat a key
     are one document's: neither is earlier, so they lose nothing to each other.  Rows with a null
@@ -330,9 +342,9 @@ def repeated_bytes(df: DataFrame, key: str = "doc_id", text: str = "text", with_
         sent_pieces(owners), "owner long, shard long, windows binary, least binary, data binary")
     earlier = keep_table(pieces.groupBy("owner").applyInArrow(earlier_windows(array_bytes), answer), "earlier")
     out = "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    if with_text:
-        out += ", original_sha256 string, kept_text string"
-    done = each.cogroup(known.unionByName(earlier).groupBy("shard")).applyInArrow(cleaned(owners, with_text), out)
+    if with_runs:
+        out += ", original_sha256 string, kept_runs array<struct<start: int, length: int>>"
+    done = each.cogroup(known.unionByName(earlier).groupBy("shard")).applyInArrow(cleaned(owners, with_runs), out)
     kind = df.select(f"`{key}`").schema[0].dataType
     return done.select(F.col("key").cast(kind).alias(key), *[c for c in done.columns if c != "key"])
 
@@ -341,14 +353,17 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     """``df`` with the repeated bytes taken out of ``text`` (and its ``length`` column, if there is
     one, set anew).  Every row stays; a text that is nothing but repeats becomes empty, a null
     text stays null."""
-    done = keep_table(repeated_bytes(df, key, text, True).filter("n_removed > 0"), "kept").select(
-        F.col(key).alias("_key"), F.col("original_sha256").alias("_sha"), F.col("kept_text").alias("_kept"))
-    done = done.dropDuplicates(["_key", "_sha"])
-    same = df[key].eqNullSafe(F.col("_key")) & (F.sha2(df[text].cast("binary"), 256) == F.col("_sha"))
-    new = F.coalesce(F.col("_kept"), F.col(text))
+    done = keep_table(repeated_bytes(df, key, text, True).filter("n_removed > 0")
+                      .select(F.col(key).alias("_key"), F.col("original_sha256").alias("_sha"),
+                              F.col("kept_runs").alias("_runs")), "kept").dropDuplicates(["_key", "_sha"])
+    source = F.col(f"`{text}`").cast("binary")
+    same = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.sha2(source, 256) == F.col("_sha"))
+    # the text is bound once, however many runs are taken from it
+    kept = F.transform(F.array(source), lambda held: F.array_join(F.transform(
+        "_runs", lambda run: F.substring(held, run["start"], run["length"]).cast("string")), ""))[0]
     out = df.join(done, same, "left")
-    changes = {text: new}
+    changes = {text: F.when(F.col("_sha").isNull(), F.col(f"`{text}`")).otherwise(kept)}
     if length in df.columns:
-        changes[length] = F.when(F.col("_kept").isNotNull(), F.char_length("_kept").cast(
-            df.schema[length].dataType)).otherwise(F.col(length))
+        changes[length] = F.when(F.col("_sha").isNull(), F.col(f"`{length}`")).otherwise(
+            F.char_length(kept).cast(df.schema[length].dataType))
     return out.select(*[changes[c].alias(c) if c in changes else F.col(f"`{c}`") for c in df.columns])

@@ -240,6 +240,22 @@ def test_repeated_bytes_keep_lengths_and_whole_characters(spark):
     assert got[2].text == "nend" and got[2].n_chars == 4 and got[2].lang == "y"
 
 
+def test_runs_that_stay_have_whole_characters():
+    draw = random.Random(9)
+    for _ in range(200):
+        text = "".join(draw.choice("aé€𝄞 ") for _ in range(draw.randint(1, 40)))
+        data = np.frombuffer(text.encode(), np.uint8)
+        cut = np.array([draw.random() < 0.3 for _ in data])
+        want, at = "", 0
+        for c in text:
+            size = len(c.encode())
+            want += "" if cut[at:at + size].any() else c
+            at += size
+        runs = substring_dedup.whole_runs(data, cut)
+        assert "".join(data[r["start"] - 1:][:r["length"]].tobytes().decode() for r in runs) == want
+        assert all(r["length"] > 0 for r in runs)
+
+
 def test_repeated_bytes_query(spark, sf_dir):
     got = sorted((tuple(r) for r in QUERIES["op6_suffix_arrays"](spark, sf_dir).collect()), key=str)
     assert got == cut_by_hand(texts_of(table(spark, sf_dir, "documents")))

@@ -171,6 +171,27 @@ def test_packing_query(spark, sf_dir, words):
     check_pieces(QUERIES["op7_bm25_packing"](spark, sf_dir).collect(), documents, 2048)
 
 
+def test_leaves_keep_topics_together():
+    draw = np.random.default_rng(4)
+    topic = draw.integers(0, 4, 1600)
+    documents = [np.unique(draw.integers(100 + 3000 * t, 100 + 3000 * t + 900, 60)) for t in topic]
+    leaves = packing.Leaves(documents[:800])
+    leaf = leaves.of(np.array([leaves.point(d) for d in documents]))
+    numbers, sizes = np.unique(leaf, return_counts=True)
+    of_leaf = {n: first for n, first, _ in packing.shards_of_leaves(
+        list(zip(numbers.tolist(), sizes.tolist(), strict=True)), 100)}
+    shard = np.array([of_leaf[n] for n in leaf.tolist()])
+    largest = sum(np.bincount(topic[shard == s]).max() for s in np.unique(shard))
+    assert len(np.unique(shard)) >= 16 and largest > 0.9 * len(topic)
+
+
+def test_shards_hold_all_leaves():
+    sizes = [(5, 7), (0, 3), (1, 3), (9, 31), (2, 5), (12, 1)]
+    assert packing.shards_of_leaves(sizes, 10) == [
+        (0, 0, 1), (1, 0, 1), (2, 1, 1), (5, 2, 1), (9, 3, 4), (12, 7, 1)]
+    assert packing.shards_of_leaves([], 10) == []
+
+
 def test_packing_small_windows_and_hard_rows(hard, none, words):
     docs = hard.filter("doc_id is not null").dropDuplicates(["doc_id"])
     documents = {k: ids_of(words, t) for k, t in texts_of(docs)}
