@@ -154,10 +154,11 @@ class Leaves:
 
 
 def fit_leaves(df: DataFrame, key: str, text: str, json: str) -> Leaves:
-    """From the ``SAMPLE`` documents whose keys have the least hashes."""
-    rows = (df.select(F.xxhash64(f"`{key}`").alias("h"),
-                      F.substring(f"`{text}`", 1, SAMPLED_TEXT).alias("t"))
-            .orderBy("h", "t").limit(SAMPLE).collect())  # bounded by SAMPLE and SAMPLED_TEXT
+    """From the ``SAMPLE`` rows with the least hashes."""
+    rows = df.select(F.xxhash64(f"`{key}`", F.monotonically_increasing_id()).alias("h"), F.col(f"`{text}`").alias("t"))
+    least = rows.select("h").orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+    # bounded by SAMPLE and SAMPLED_TEXT
+    rows = rows.filter(F.col("h") <= F.lit(least)).select(F.substring("t", 1, SAMPLED_TEXT).alias("t")).collect()
     ids = WordTokenizer(json).encode([r.t or "" for r in rows])
     return Leaves([np.unique(np.append(np.frombuffer(b, "<u2"), np.uint16(END_OF_TEXT))) for b in ids])
 
@@ -229,22 +230,30 @@ class Bm25Index:
     """Postings of a shard: for each token the documents that hold it, with their weights."""
 
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean: float):
-        sizes = np.array([len(d) for d in documents])
-        owner = np.repeat(np.arange(len(documents)), sizes)
-        codes, counts = np.unique(owner << 16 | np.concatenate(documents), return_counts=True)
-        owner, terms = codes >> 16, codes & 0xFFFF
-        self.terms = np.split(terms, np.searchsorted(owner, np.arange(1, len(documents))))
-        weights = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * sizes[owner] / mean))
-        order = np.argsort(terms, kind="stable")
-        self.owner, self.weights = owner[order], weights[order]
-        self.bounds = np.searchsorted(terms[order], np.arange((1 << 16) + 1))
         self.n = len(documents)
+        sizes = np.array([len(d) for d in documents])
+        bits = max(1, (self.n - 1).bit_length())
+        kind = np.uint32 if bits <= 16 else np.uint64  # narrow numbers are sorted faster
+        owner = np.repeat(np.arange(self.n, dtype=kind), sizes)
+        codes, counts = np.unique(np.concatenate(documents).astype(kind) << kind(bits) | owner, return_counts=True)
+        self.owner = (codes & kind((1 << bits) - 1)).astype(np.int64)
+        terms = (codes >> kind(bits)).astype(np.int64)
+        self.weights = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * sizes[self.owner] / mean))
+        self.bounds = np.searchsorted(terms, np.arange((1 << 16) + 1))
+        order = np.argsort(self.owner.astype(kind), kind="stable")
+        self.terms = np.split(terms[order], np.cumsum(np.bincount(self.owner, minlength=self.n))[:-1])
+
+    def keep(self, kept: np.ndarray) -> None:
+        """Take the documents that are not ``kept`` out of all postings."""
+        stay = kept[self.owner]
+        self.owner, self.weights = self.owner[stay], self.weights[stay]
+        self.bounds = np.concatenate([[0], np.cumsum(stay)])[self.bounds]
 
     def scores(self, query: int) -> np.ndarray:
         terms = self.terms[query]
-        starts, sizes = self.bounds[terms], self.bounds[terms + 1] - self.bounds[terms]
-        at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-        return np.bincount(self.owner[at], self.weights[at], minlength=self.n)
+        parts = list(map(slice, self.bounds[terms].tolist(), self.bounds[terms + 1].tolist()))
+        return np.bincount(np.concatenate([self.owner[p] for p in parts]),
+                           np.concatenate([self.weights[p] for p in parts]), minlength=self.n)
 
 
 def pack_shard(documents: list[np.ndarray], idf: np.ndarray, mean: float,
@@ -254,7 +263,7 @@ def pack_shard(documents: list[np.ndarray], idf: np.ndarray, mean: float,
     used = np.zeros(len(documents), np.int64)  # ids of each document that have their place
     sizes = np.array([len(d) for d in documents])
     sequences: list[list[tuple[int, int, int]]] = []
-    seed, first = -1, 0
+    seed, first, held = -1, 0, len(documents)
     while True:
         if seed < 0:
             while first < len(documents) and used[first] == sizes[first]:
@@ -263,6 +272,9 @@ def pack_shard(documents: list[np.ndarray], idf: np.ndarray, mean: float,
                 break
             seed = first
         open_ = np.flatnonzero(used < sizes)
+        if len(open_) < 0.8 * held:
+            index.keep(used < sizes)
+            held = len(open_)
         score = index.scores(seed)[open_]
         score[open_ == seed] = np.inf
         pieces, room, seed = [], window, -1
