@@ -67,6 +67,24 @@ def looks_like_header(cells: Column) -> Column:
     return (F.size(filled) >= 3) & (words * 2 >= F.size(filled))
 
 
+def with_first_cells(grid: DataFrame) -> DataFrame:
+    """The grid with code cell, name cell and width as columns of their own (unless it has them)."""
+    if "_width" in grid.columns:
+        return grid
+    cells = F.col("cells")
+    return grid.withColumns({"_code": F.get(cells, F.lit(0)), "_name": F.get(cells, F.lit(1)),
+                             "_width": F.size(cells)})
+
+
+def kept_grid(grid: DataFrame) -> DataFrame:
+    """The grid decoded once and kept.
+
+    Profile and noise filter look at two cells and the width of a row; these are kept beside
+    the cells, so whoever needs no more does not decode all cells of the kept copy.
+    """
+    return freeze(with_first_cells(grid))
+
+
 def _within(rows: int | None) -> Column:
     return F.lit(True) if rows is None else F.col("row_idx") < rows
 
@@ -78,8 +96,7 @@ def header_rows(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
     return grid.groupBy(*SHEET).agg(F.coalesce(found, F.lit(v.default_header)).alias("header_row"))
 
 
-def _is_old_data(cells: Column) -> Column:
-    name = F.get(cells, F.lit(1))
+def _is_old_data(name: Column) -> Column:
     return ((F.length(name) > 3) & name.rlike("[a-zA-Z]")
             & ~F.upper(name).isin(fv.TITLE_CELLS))
 
@@ -88,16 +105,21 @@ def sheet_profile(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
     """One row per sheet: type, province, year, month, vintage, first data row, width."""
     year, month = file_period(F.col("source_file"))
     kind, province = sheet_type_and_province(F.col("sheet"))
-    cells, near_top = F.col("cells"), _within(v.search_rows)
-    old = year <= v.old_last
-    code = parse_number(F.get(cells, F.lit(0)))
-    is_data = F.when(old, _is_old_data(cells)).otherwise(code > v.min_code)
-    return (grid.groupBy(*SHEET)
-            .agg(F.min(F.when(near_top & is_data, F.col("row_idx"))).alias("data_start"),
-                 F.max(F.size("cells")).alias("width"),
-                 F.count(F.lit(1)).alias("sheet_rows"))
-            .withColumns({"data_type": kind, "province": province, "year": year, "month": month,
-                          "vintage": v.of(year)}))
+    near_top = _within(v.search_rows)
+
+    def first(is_data: Column) -> Column:
+        return F.min(F.when(near_top & is_data, F.col("row_idx")))
+
+    # names of files and sheets are read once per sheet: both kinds of start are sought, and the
+    # aggregate is kept, for a filter on the type would be moved in front of it, to every row
+    facts = freeze(with_first_cells(grid).groupBy(*SHEET).agg(
+        first(_is_old_data(F.col("_name"))).alias("_old_start"),
+        first(parse_number(F.col("_code")) > v.min_code).alias("_new_start"),
+        F.max("_width").alias("width"), F.count(F.lit(1)).alias("sheet_rows")))
+    start = F.when(year <= v.old_last, F.col("_old_start")).otherwise(F.col("_new_start"))
+    return facts.select(*SHEET, start.alias("data_start"), "width", "sheet_rows", kind.alias("data_type"),
+                        province.alias("province"), year.alias("year"), month.alias("month"),
+                        v.of(year).alias("vintage"))
 
 
 def keep_last_sheet(profile: DataFrame) -> DataFrame:
@@ -121,19 +143,18 @@ def rejected_sheets(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
 
 def data_rows(grid: DataFrame, profile: DataFrame) -> DataFrame:
     """Rows from the first data row on, with the facts about their sheet."""
-    return (lookup_join(grid, profile.drop("sheet", "sheet_rows"), ["source_file", "sheet_no"],
+    return (lookup_join(with_first_cells(grid), profile.drop("sheet", "sheet_rows"), ["source_file", "sheet_no"],
                         "inner", derived=True, salt_on=["row_idx"])
             .where(F.col("row_idx") >= F.col("data_start")))
 
 
 def noise_reason(v: Vintages = DEFAULT) -> Column:
-    """Why a data row is dropped, null for rows that are kept."""
-    cells, name = F.col("cells"), F.get(F.col("cells"), F.lit(1))
+    """Why a row of ``data_rows`` is dropped, null for rows that are kept."""
+    code, name = F.col("_code"), F.col("_name")
     old = F.col("vintage") != "new"
     province = F.lower(F.col("province"))
     about_province = (F.lower(strip(name)) == province if v.drop_province_name == "equal"
                       else F.lower(name).contains(province))
-    code = F.get(cells, F.lit(0))
     number = parse_number(code)
     too_narrow = F.lit(False)
     for data_type in v.measures:
@@ -157,14 +178,14 @@ def project_layout(rows: DataFrame, data_type: str, v: Vintages = DEFAULT) -> Da
     # the cells of all measures are parsed by one expression, not one per column
     parsed = F.transform(F.slice("cells", first + 1, len(names)),
                          lambda c: lenient_number(c, drop_blanks=data_type == "contracts"))
-    code = parse_number(F.get(F.col("cells"), F.lit(0))).cast("bigint")
+    code = parse_number(F.col("_code")).cast("bigint")
     rows = rows.where(F.col("data_type") == data_type).withColumn("_parsed", parsed)
     measures = [F.when(F.col("width") > i, F.coalesce(F.get(F.col("_parsed"), F.lit(i - first)), F.lit(0.0)))
                 .alias(name) for i, name in enumerate(names, start=first)]
     return rows.select(
         "source_file", "sheet", "row_idx",
         F.when(F.col("vintage") == "new", code).otherwise(F.lit(0)).alias("municipality_code"),
-        strip(F.get(F.col("cells"), F.lit(layout.index("municipality_name")))).alias("municipality_name"),
+        strip(F.col("_name")).alias("municipality_name"),
         *measures, "province", "year", "month", "data_type")
 
 
@@ -173,7 +194,7 @@ def tidy_rows(grid: DataFrame, data_type: str, v: Vintages = DEFAULT) -> DataFra
 
     The grid is decoded once and kept: the profile and the rows read the kept copy.
     """
-    grid = freeze(grid)
+    grid = kept_grid(grid)
     profile = keep_last_sheet(sheet_profile(grid, v)).where(F.col("data_type") == data_type)
     rows = data_rows(grid, profile).where(noise_reason(v).isNull())
     return project_layout(rows, data_type, v)
@@ -181,7 +202,7 @@ def tidy_rows(grid: DataFrame, data_type: str, v: Vintages = DEFAULT) -> DataFra
 
 def rejected_rows(grid: DataFrame, v: Vintages = DEFAULT) -> DataFrame:
     """Data rows that were dropped, with the reason; the grid is decoded once, as in ``tidy_rows``."""
-    grid = freeze(grid)
+    grid = kept_grid(grid)
     rows = data_rows(grid, keep_last_sheet(sheet_profile(grid, v)))
     return (rows.withColumn("reason", noise_reason(v)).where(F.col("reason").isNotNull())
             .select(*SHEET, "row_idx", "data_type", "reason"))

@@ -44,7 +44,7 @@ construction_sector: l_partkey % 5 = 2
 services_sector: l_partkey % 5 = 3
 no_previous_employment: l_partkey % 5 = 4
 """).replace("@v", "l_quantity")
-CONTRACTS = _measures("""
+CONTRACT_CONDITIONS = """
 men_indefinite_initial: l_linestatus = 'F' AND l_returnflag = 'A'
 men_temporary_initial: l_linestatus = 'F' AND l_returnflag = 'N'
 men_indefinite_conversion: l_linestatus = 'F' AND l_returnflag = 'R'
@@ -55,7 +55,8 @@ agriculture_sector: l_partkey % 4 = 0
 industry_sector: l_partkey % 4 = 1
 construction_sector: l_partkey % 4 = 2
 services_sector: l_partkey % 4 = 3
-""").replace("@v", "1.0")
+"""
+CONTRACTS = _measures(CONTRACT_CONDITIONS).replace("@v", "1.0")
 
 MONTH_KEY = ("l_suppkey AS place_key, CAST(year(l_shipdate) AS INT) AS year, "
              "CAST(month(l_shipdate) AS INT) AS month")
@@ -327,10 +328,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def monthly_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relation ``monthly_count`` as a Spark job that counts in whole numbers: its text adds up
+    decimals, an object per row and measure."""
+    lines = [line.split(": ") for line in CONTRACT_CONDITIONS.strip().splitlines()]
+    return (table(spark, sf_dir, "lineitem")
+            .groupBy(F.col("l_suppkey").alias("place_key"), F.year("l_shipdate").alias("year"),
+                     F.month("l_shipdate").alias("month"))
+            .agg(F.count(F.lit(1)).cast("double").alias("total_contracts"),
+                 *[F.count_if(F.expr(condition)).alias(name) for name, condition in lines]))
+
+
+JOBS = {"monthly_count": monthly_count}
+
+
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = f"{with_clause(name)}\nSELECT * FROM {name}"
+    for job in JOBS:
+        text = text.replace(RELATIONS[job], f"SELECT * FROM {{{job}}}")
     used = sorted(set(re.findall(r"\{(\w+)\}", text)))
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})
+    return spark.sql(text, **{t: JOBS[t](spark, sf_dir) if t in JOBS else table(spark, sf_dir, t) for t in used})
 
 
 HEADINGS = [(0, "PARO REGISTRADO SEGÚN SEXO", None), (1, None, None),
@@ -352,12 +369,14 @@ def employment_sheets(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     once, again = F.lit(0), F.lit(1)
     issue = F.explode(F.when(F.col("n_nationkey") % 10 == 2, F.array(once, again))
                       .otherwise(F.array(once)))
-    body = rows.withColumn("issue", issue).select(
-        F.concat_ws("_", year, F.lpad(F.col("month").cast("string"), 2, "0"),
-                    F.concat(F.floor(key / 1000).cast("string"), F.lit(".xls"))).alias("source_file"),
-        (F.col("n_nationkey") * 2 + offset + F.col("issue") * 100).cast("int").alias("sheet_no"),
-        F.concat(F.lit(label), nation, F.when(F.col("issue") == 1, ".").otherwise("")).alias("sheet"),
-        year.alias("year"), (at + 4).cast("int").alias("row_idx"),
+    rows = rows.withColumns({"volume": F.floor(key / 1000), "issue": issue})
+    sheet = [F.concat_ws("_", year, F.lpad(F.col("month").cast("string"), 2, "0"),
+                         F.concat(F.col("volume").cast("string"), F.lit(".xls"))).alias("source_file"),
+             (F.col("n_nationkey") * 2 + offset + F.col("issue") * 100).cast("int").alias("sheet_no"),
+             F.concat(F.lit(label), nation, F.when(F.col("issue") == 1, ".").otherwise("")).alias("sheet"),
+             year.alias("year")]
+    body = rows.select(
+        *sheet, (at + 4).cast("int").alias("row_idx"),
         F.when(old, None).when(key % 37 == 36, "n/a")
          .otherwise(F.col("national_code").cast("string")).alias("c0"),
         F.when(old & (at == 39), F.concat(F.lit("TOTAL "), nation)).when(old & (at == 38), "Abc")
@@ -369,8 +388,9 @@ def employment_sheets(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     cells = [f"c{i}" for i in range(3 + len(parts))]
     heading = F.array(*[F.struct(F.lit(r).alias("row_idx"), F.lit(a).cast("string").alias("c1"),
                                  F.lit(b).cast("string").alias("c2")) for r, a, b in HEADINGS])
-    heads = (body.select("source_file", "sheet_no", "sheet", "year").distinct()
-             .select("*", F.inline(heading))
+    # the texts that name a sheet are made once per sheet
+    heads = (rows.select("year", "month", "volume", "n_nationkey", "n_name", "issue").distinct()
+             .select(*sheet).distinct().select("*", F.inline(heading))
              .withColumns({c: F.lit(None).cast("string") for c in cells if c not in ("c1", "c2")}))
     return body.unionByName(heads)
 

@@ -98,6 +98,20 @@ def test_header_rows(spark):
     assert got == {"a": 2, "b": 2, "c": 1}
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_coverage_reads_two_cells_and_names_sheets_once(spark):
+    data = sheet("2014_12_employment.xls", 0, [["27001", "Beta"] + ["1"] * 12], "PARO LUGO")
+    df = spark.createDataFrame(data, GRID)
+    wanted = grids.tidy_rows(df, "unemployment").select("data_type", "province", "municipality_name")
+    assert [tuple(r) for r in wanted.collect()] == [("unemployment", "LUGO", "Beta")]
+    assert "cells" not in plan_of(wanted)  # the kept copy is read without the other cells
+    # a filter on the type of a sheet does not come in front of the aggregate per sheet
+    assert "Aggregate" not in plan_of(grids.sheet_profile(df).where("data_type = 'unemployment'"))
+
+
 def line(name, total="10", code=None, width=14):
     return ([code, name, total] + ["1"] * 20)[:width]
 

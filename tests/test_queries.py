@@ -43,6 +43,13 @@ def test_declared_suites_fit_their_models(spark):
             assert failed == ({"population_total_not_null"} if name == "stage_population" else set())
 
 
+def test_contracts_are_counted_in_whole_numbers(spark):
+    from comarca.plans.workload import derive
+    raw = derive(spark, SF_DIR, "raw_contracts")
+    assert "decimal" not in raw._jdf.queryExecution().optimizedPlan().toString()
+    assert {raw.schema[c].dataType.simpleString() for c in ("total_contracts", "services_sector")} == {"double"}
+
+
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"file_inventory"}
