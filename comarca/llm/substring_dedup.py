@@ -32,6 +32,9 @@ RUN = WIDTH - GRAM + 1
 #: of keys, and bytes of pieces in one suffix array.
 SHARD_BYTES, OWNER_BYTES, ARRAY_BYTES = 2 << 20, 4 << 20, 1 << 20
 LAST = np.iinfo(np.int64).max
+# numbers of a byte, in the keys of windows and in the second name of a piece
+_GRAM_BYTE = _BYTE + np.arange(256, dtype=np.uint64)
+_SECOND_BYTE = mix(np.arange(256, dtype=np.uint64) + np.uint64(77))
 
 
 def pack_bytes(data: np.ndarray) -> bytes:
@@ -58,8 +61,8 @@ class Shard:
         head = np.ones(len(at), bool)
         head[1:] = (key[1:] != key[:-1]) | (np.diff(at) != 1)
         first = np.flatnonzero(head)
-        inside = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-        first = np.flatnonzero(inside % RUN == 0)
+        parts = -(-np.diff(np.append(first, len(at))) // RUN)  # a long run is cut
+        first = np.repeat(first, parts) + RUN * spread(np.zeros_like(parts), parts)
         self.at, self.key = at[first], key[first]  # of each run: first window, key
         self.windows = np.diff(np.append(first, len(at)))
         self.doc = np.searchsorted(self.ends, self.at, side="right")
@@ -93,9 +96,9 @@ class Pieces:
         n = len(shard.data)
         up, down = _powers(n + 1)
         name = []
-        for bytes_ in (_BYTE[shard.data], mix(shard.data.astype(np.uint64) + np.uint64(77))):
+        for number in (_BYTE, _SECOND_BYTE):
             total = np.zeros(n + 1, np.uint64)
-            np.cumsum(bytes_ * up[:-1], out=total[1:])
+            np.cumsum(number[shard.data] * up[:-1], out=total[1:])
             a = shard.at[runs]
             name.append(mix((total[a + self.sizes] - total[a]) * down[a] + self.sizes.astype(np.uint64)))
         order = np.lexsort((name[1], name[0], self.owner))
@@ -133,7 +136,7 @@ def window_keys(data: np.ndarray) -> np.ndarray:
     n = len(data)
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:-1] + data * up[:-1], out=total[1:])
+    np.cumsum(_GRAM_BYTE[data] * up[:-1], out=total[1:])
     least = mix((total[GRAM:] - total[:-GRAM]) * down[:n - GRAM + 1]) >> np.uint64(16)
     held = 1
     while held < RUN:
@@ -238,6 +241,18 @@ def sent_pieces(owners: int):
     return run
 
 
+def distinct_pieces(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal pieces, laid one after another, the first; and for every piece the number of its text."""
+    held, ends = data.tobytes(), np.cumsum(sizes).tolist()
+    numbers: dict[bytes, int] = {}
+    first, number = [], np.empty(len(ends), np.int64)
+    for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+        number[i] = n = numbers.setdefault(held[a:b], len(first))
+        if n == len(first):
+            first.append(i)
+    return np.array(first, np.int64), number
+
+
 def earlier_windows(array_bytes: int):
     def run(part: pa.Table) -> pa.Table:
         """For each shard one bit per window it sent: does a document before its least one have it?"""
@@ -245,8 +260,14 @@ def earlier_windows(array_bytes: int):
         windows = [np.frombuffer(r["windows"], np.uint8).astype(np.int64) for r in rows]
         least = [unpack_bytes(r["least"], np.int64) for r in rows]
         data = np.concatenate([unpack_bytes(r["data"], np.uint8) for r in rows])
-        all_windows, all_least = np.concatenate(windows), np.concatenate(least)
-        sizes = all_windows + WIDTH - 1
+        sent_windows, sent_least = np.concatenate(windows), np.concatenate(least)
+        # shards send the same pieces: each text is sorted once, with the least document of all
+        sizes = sent_windows + WIDTH - 1
+        kept, piece = distinct_pieces(data, sizes)
+        data = data[spread((np.cumsum(sizes) - sizes)[kept], sizes[kept])]
+        all_windows, sizes = sent_windows[kept], sizes[kept]
+        all_least = np.full(len(kept), LAST)
+        np.minimum.at(all_least, piece, sent_least)
         ends = np.cumsum(sizes)
         # suffix arrays of a bounded number of bytes, cut between pieces
         array = (ends - 1) // array_bytes
@@ -262,7 +283,8 @@ def earlier_windows(array_bytes: int):
             found.append((own, number))
             texts, first = (own, value) if texts is None else merge(texts, first, own, value)
         earliest = np.concatenate([first[np.searchsorted(texts, own)][number] for own, number in found])
-        earlier = earliest < np.repeat(all_least, all_windows)
+        at = np.cumsum(all_windows) - all_windows
+        earlier = earliest[spread(at[piece], sent_windows)] < np.repeat(sent_least, sent_windows)
         per_row = np.cumsum([w.sum() for w in windows])[:-1]
         bits = [np.packbits(x).tobytes() for x in np.split(earlier, per_row)]
         return pa.table({"shard": part["shard"], "owner": part["owner"], "kind": pa.array([1] * len(rows), pa.int32()),

@@ -23,7 +23,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     """
     n = len(data)
     first = words_at(data)
-    order = np.argsort(first, kind="stable")
+    order = np.argsort(first)
     key = first[order]
     head = np.append(True, key[1:] != key[:-1])
     group = np.empty(n + 1, np.int64)
@@ -37,7 +37,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
             break
         suffixes = order[at]
         key = group[suffixes] << 32 | (group[np.minimum(suffixes + h, n)] + 1)
-        perm = np.argsort(key, kind="stable")
+        perm = np.argsort(key)
         key, suffixes = key[perm], suffixes[perm]
         order[at] = suffixes
         head[at] = np.append(True, key[1:] != key[:-1])

@@ -376,3 +376,41 @@ def test_pipeline_of_an_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
+
+
+def test_equal_pieces_are_sorted_once(monkeypatch):
+    """Shards send the same piece; its owner sorts the text once and answers each shard."""
+    import numpy as np
+    import pyarrow as pa
+    from comarca.llm import substring_dedup
+    sorted_bytes, plain = [], substring_dedup.distinct_strings
+    monkeypatch.setattr(substring_dedup, "distinct_strings",
+                        lambda held, *rest: sorted_bytes.append(len(held)) or plain(held, *rest))
+    piece = np.frombuffer(bytes(range(32, 32 + 52)), np.uint8)  # three windows
+    least = [7, 3, 3]
+    part = pa.table({
+        "owner": pa.array([0] * 3, pa.int64()), "shard": pa.array(range(3), pa.int64()),
+        "windows": pa.array([bytes([3])] * 3, pa.binary()),
+        "least": pa.array([substring_dedup.pack_bytes(np.array([x])) for x in least], pa.binary()),
+        "data": pa.array([substring_dedup.pack_bytes(piece)] * 3, pa.binary())})
+    bits = substring_dedup.earlier_windows(1 << 20)(part)["bits"].to_pylist()
+    assert bits == [bytes([0b11100000]), bytes(1), bytes(1)] and sum(sorted_bytes) == 52
+
+
+def test_one_round_of_centres_loses_no_link(spark, monkeypatch):
+    """What one round of centres leaves apart meets in the prefix join."""
+    from comarca.llm import minhash
+    assert minhash.STAR_ROUNDS == 1
+    words = [f"w{k}" for k in range(60)]
+    # a chain: neighbours are near, the ends are not
+    rows = [(i, " ".join(words[:i * 3] + [f"n{k}" for k in range(i * 3, 60)])) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {(a, b) for a, b in zip(t.split(), t.split()[1:])} for i, t in rows}
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
+    assert got == label and len(set(label.values())) < len(label)
