@@ -27,7 +27,7 @@ from comarca.llm.shingles import in_chunks, mix, shingle_sets
 BANDS, ROWS = 32, 4
 SHINGLE, PERCENT = 2, 80
 #: Rounds of comparing buckets with one centre, before the prefix join.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 #: A value that more than this part of all rows has is broadcast, so there are no more such values.
 HOT = 100_000
 #: Sets of one shingle that meet others in one task.
