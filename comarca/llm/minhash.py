@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from comarca.llm.common import keep_table, rows_from
+from comarca.llm.common import keep_table, rows_from, thinned
 from comarca.llm.shingles import in_chunks, mix, shingle_sets
 
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 4) ** 32 < 5e-8.
@@ -28,6 +28,9 @@ BANDS, ROWS = 32, 4
 SHINGLE, PERCENT = 2, 80
 #: Rounds of comparing buckets with one centre, before the prefix join.
 STAR_ROUNDS = 1
+#: Buckets that a member shares with their centre if the two are compared; others may still meet in
+#: the prefix join.
+SHARED = 4
 #: A value that more than this part of all rows has is broadcast, so there are no more such values.
 HOT = 100_000
 #: Sets of one shingle that meet others in one task.
@@ -123,7 +126,7 @@ def full_sets(df: DataFrame, wanted: DataFrame, key: str, text: str, width: int)
                      pa.array([sets[i - begin].tobytes() for i in same], pa.binary())], ["node", "set"])
 
     named = wanted.select("node", F.col("key").alias("_key"), "h1", "h2", "copies")
-    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    rows = thinned(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), "key", named, "_key")
     sets = rows.join(named, rows["key"].eqNullSafe(F.col("_key"))).select("node", "h1", "h2", "text").mapInArrow(
         run, "node long, set binary")
     return sets if wanted.filter("copies > 1").isEmpty() else sets.dropDuplicates(["node"])
@@ -187,18 +190,17 @@ def similar_size(a: str, b: str, percent: int):
 def components(classes: DataFrame, sets_of, percent: int) -> DataFrame:
     """(node, label): label is the smallest node of the component of a class."""
     buckets = classes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = keep_table(buckets.join(shared, "bucket"), "buckets")
+    shared = keep_table(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
     # a text from which others were made shares more bands than these do with each other
-    central = buckets.groupBy("node").agg(F.sum("n").alias("central"))
-    buckets = keep_table(buckets.drop("n").join(central, "node").withColumn("was", F.lit(False)), "buckets")
-    wanted = buckets.select("node").distinct()
-    sets = keep_table(sets_of(wanted), "sets")
-    labels = keep_table(wanted.select("node", F.col("node").alias("label")), "labels")
-    tested = None
-    for n in range(STAR_ROUNDS + 1):
+    central = F.sum("n").over(Window.partitionBy("node"))  # over the bands of a class
+    buckets = keep_table(thinned(buckets, "bucket", shared, "bucket").join(shared, "bucket").select(
+        "node", "n_shingles", "bucket", central.alias("central")), "buckets")
+    labels = keep_table(buckets.select("node", F.col("node").alias("label")).distinct(), "labels")
+    sets = keep_table(sets_of(labels.select("node")), "sets")
+    buckets = buckets.withColumn("was", F.lit(False))
+    for n in range(STAR_ROUNDS):
         # only buckets that are not yet in one component go on, with their centre of this round
-        held = buckets.join(labels, "node")
+        held = buckets.join(labels, "node") if n else buckets.withColumn("label", F.col("node"))
         # the most central member, of those that have not been centres before
         choice = F.struct(~F.col("was"), "central", "node")
         apart = (held.groupBy("bucket").agg(
@@ -206,26 +208,30 @@ def components(classes: DataFrame, sets_of, percent: int) -> DataFrame:
             F.max_by(F.struct("node", "label", "n_shingles"), choice).alias("centre"))
             .filter("low <> high").select("bucket", "centre"))
         held = keep_table(held.join(apart, "bucket"), "held")
-        if held.isEmpty():
-            break
         buckets = held.select("node", "n_shingles", "bucket", "central",
                               (F.col("was") | (F.col("node") == F.col("centre.node"))).alias("was"))
-        if n < STAR_ROUNDS:
-            near = similar_size("n_shingles", "centre.n_shingles", percent)
-            pairs = (held.filter((F.col("label") != F.col("centre.label")) & near)
-                     .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
-                     .distinct())
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        else:
-            pairs = prefix_pairs(held.select("node", "label").distinct(), sets, percent)
-        pairs = keep_table(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        links = keep_table(confirmed(pairs, sets, percent), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = merge_labels(labels, links)
-    return labels
+        near = similar_size("n_shingles", "centre.n_shingles", percent)
+        pairs = (held.filter((F.col("label") != F.col("centre.label")) & near)
+                 .groupBy(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
+                 .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SHARED).select("a", "b"))
+        labels = join_pairs(labels, keep_table(pairs, "pairs"), sets, percent)
+    held = buckets.join(labels, "node")
+    apart = (held.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+             .filter("low <> high").select("bucket"))
+    apart = keep_table(held.join(apart, "bucket", "left_semi").select("node", "label").distinct(), "apart")
+    if apart.isEmpty():
+        return labels
+    sets = keep_table(thinned(sets, "node", apart, "node").join(apart, "node", "left_semi"), "sets")
+    return join_pairs(labels, keep_table(prefix_pairs(apart, sets, percent), "pairs"), sets, percent)
+
+
+def join_pairs(labels: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``labels`` after joining the components of the confirmed ones of ``pairs(a, b)``."""
+    if pairs.isEmpty():
+        return labels
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    named = thinned(sets, "node", nodes, "node")
+    return merge_labels(labels, keep_table(confirmed(pairs, named, percent), "links"))
 
 
 def join_counted(df: DataFrame, counted: DataFrame, key: str, total: int) -> DataFrame:
@@ -278,14 +284,14 @@ def prefix_pairs(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     are joined already do not meet: the largest component meets the others only.  A shingle of
     many holders is dealt over tasks.
     """
-    apart = keep_table(apart, "apart")
-    entries = keep_table(prefixes(sets.join(apart, "node", "left_semi"), percent).join(apart, "node"), "prefixes")
+    entries = keep_table(prefixes(sets, percent).join(apart, "node"), "prefixes")
     by_label = entries.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("n"))
     holders = keep_table(by_label.groupBy("shingle").agg(
         F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"),
         F.count(F.lit(1)).alias("labels")).filter("labels > 1").drop("labels"), "holders")
-    held = join_counted(entries, holders, "shingle", entries.count()).select(
-        "*", (F.lit(1) + F.col("n") / HOLDERS).cast("int").alias("parts"), (F.col("label") != F.col("main")).alias("out"))
+    held = keep_table(join_counted(entries, holders, "shingle", entries.count()).select(
+        "node", "size", "at", "shingle", "label", (F.lit(1) + F.col("n") / HOLDERS).cast("int").alias("parts"),
+        (F.col("label") != F.col("main")).alias("out")), "held")
     early = F.expr(f"at < size - (2 * {percent} * size + {99 + percent}) div {100 + percent} + 1")
 
     def dealt(side: DataFrame, to_all: bool, name: str) -> DataFrame:
@@ -326,13 +332,13 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     rows = keep_table(profiles(df, key, text, width), "profiles")
     order = F.struct(F.col("key").isNull(), F.col("key"), F.col("row"))
     classes = (rows.filter("n_shingles > 0").groupBy("h1", "h2", "n_shingles")
-               .agg(F.min_by(F.struct("row", "key"), order).alias("first")))
+               .agg(F.min_by(F.struct("row", "key", "bands"), order).alias("first")))
     classes = keep_table(classes.select("h1", "h2", "n_shingles", F.col("first.row").alias("node"),
-                                        F.col("first.key").alias("key")), "classes")
+                                        F.col("first.key").alias("key"), F.col("first.bands").alias("bands")), "classes")
     copies = rows.groupBy("key", "h1", "h2").agg(F.count(F.lit(1)).alias("copies"))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        named = classes.join(wanted, "node")
+        named = classes.drop("bands").join(wanted, "node")
         repeated = copies.filter("copies > 1").select(F.col("key").alias("k"), F.col("h1").alias("one"),
                                                       F.col("h2").alias("two"), "copies")
         same = F.col("key").eqNullSafe(F.col("k")) & (F.col("h1") == F.col("one")) & (F.col("h2") == F.col("two"))
@@ -340,9 +346,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
             "node", "key", "h1", "h2", F.coalesce("copies", F.lit(1)).alias("copies")), "wanted")
         return full_sets(df, named, key, text, width)
 
-    firsts = rows.filter("n_shingles > 0").select("row", "bands").withColumnRenamed("row", "node")
-    labels = components(classes.select("node", "n_shingles").join(firsts, "node"), sets_of, percent)
-    joined = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labels = components(classes.select("node", "n_shingles", "bands"), sets_of, percent)
+    joined = classes.drop("bands").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = joined.groupBy("label").agg(F.min("key").alias("component"))
     named = keep_table(joined.join(least, "label").select("h1", "h2", "n_shingles", "component"), "components")
     found = rows.select("key", "text_hash", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left")

@@ -1,8 +1,10 @@
 """Operators that compare documents or vectors with each other, and the pipeline, against brute force."""
 
 import hashlib
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -414,3 +416,56 @@ def test_one_round_of_centres_loses_no_link(spark, monkeypatch):
                     label[a] = label[b] = min(label[a], label[b])
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
     assert got == label and len(set(label.values())) < len(label)
+
+
+def test_a_bitmap_keeps_what_a_join_finds_and_little_else(spark, monkeypatch):
+    from comarca.llm import common
+    rows = spark.range(20_000).select(F.when(F.col("id") > 0, F.col("id") * 7).alias("key"), F.lit("x").alias("text"))
+    wanted = spark.createDataFrame([(None,), *((7 * k,) for k in range(1, 20_000, 100)), (3,), (7,), (7,)], "k long")
+    keys = {r.key for r in rows.collect()} & {r.k for r in wanted.collect()}
+    left = common.thinned(rows, "key", wanted, "k")
+    assert left.columns == ["key", "text"]
+    got = [r.key for r in left.collect()]
+    assert None in keys and keys <= set(got) and len(got) == len(set(got)) < 20_000 / 8
+    monkeypatch.setattr(common, "BITMAP_WORDS", 1)  # more rows pass, none is lost
+    assert keys <= {r.key for r in common.thinned(rows, "key", wanted, "k").collect()}
+    assert common.thinned(rows, "key", wanted.limit(0), "k").count() == 0
+
+
+def test_near_duplicates_shuffle_few_texts_and_buckets(spark, monkeypatch):
+    """Rows that have no near copy stay where they are: neither their texts nor their bands are joined."""
+    words = [f"word{k}" for k in range(3000)]
+    draw = random.Random(11)
+    rows = [" ".join(draw.choice(words) for _ in range(60)) for _ in range(600)]
+    rows += [f"{rows[0]} tail", f"{rows[1]} tail"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    passed = []
+
+    def counted(left, by, wanted, wanted_by, thin=minhash.thinned):
+        out = thin(left, by, wanted, wanted_by)
+        passed.append((by, left.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "thinned", counted)
+    assert found(df, 2) == components_by_hand(texts_of(df), 2)
+    few = {by: (n, kept) for by, n, kept in passed}
+    assert few["bucket"][1] < few["bucket"][0] / 8 and few["key"][1] < few["key"][0] / 8
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    from comarca.llm.common import CLEANUP, keep_table
+    before = spark.conf.get(CLEANUP, None)
+    folders = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+
+    def files():
+        return {f for folder in folders for _, _, names in os.walk(folder) for f in names
+                if f.startswith("shuffle_") and f.endswith(".data")}
+
+    old = files()
+    kept = keep_table(spark.range(50_000).groupBy((F.col("id") % 1000).alias("k")).count().repartition(3, "k"), "grouped")
+    left, waited = files() - old, 0
+    while left and waited < 20:  # executors delete them a moment later
+        time.sleep(0.2)
+        left, waited = files() - old, waited + 1
+    assert not left
+    assert kept.count() == 1000 and spark.conf.get(CLEANUP, None) == before
