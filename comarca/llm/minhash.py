@@ -28,9 +28,6 @@ BANDS, ROWS = 32, 4
 SHINGLE, PERCENT = 2, 80
 #: Rounds of comparing buckets with one centre, before the prefix join.
 STAR_ROUNDS = 1
-#: Buckets that a member shares with their centre if the two are compared; others may still meet in
-#: the prefix join.
-SHARED = 4
 #: A value that more than this part of all rows has is broadcast, so there are no more such values.
 HOT = 100_000
 #: Sets of one shingle that meet others in one task.
@@ -212,8 +209,8 @@ def components(classes: DataFrame, sets_of, percent: int) -> DataFrame:
                               (F.col("was") | (F.col("node") == F.col("centre.node"))).alias("was"))
         near = similar_size("n_shingles", "centre.n_shingles", percent)
         pairs = (held.filter((F.col("label") != F.col("centre.label")) & near)
-                 .groupBy(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
-                 .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SHARED).select("a", "b"))
+                 .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
+                 .distinct())
         labels = join_pairs(labels, keep_table(pairs, "pairs"), sets, percent)
     held = buckets.join(labels, "node")
     apart = (held.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
@@ -229,9 +226,7 @@ def join_pairs(labels: DataFrame, pairs: DataFrame, sets: DataFrame, percent: in
     """``labels`` after joining the components of the confirmed ones of ``pairs(a, b)``."""
     if pairs.isEmpty():
         return labels
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = thinned(sets, "node", nodes, "node")
-    return merge_labels(labels, keep_table(confirmed(pairs, named, percent), "links"))
+    return merge_labels(labels, keep_table(confirmed(pairs, sets, percent), "links"))
 
 
 def join_counted(df: DataFrame, counted: DataFrame, key: str, total: int) -> DataFrame:
