@@ -12,6 +12,7 @@ powers of two, which need no padding.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from array import array
@@ -21,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import public_tokenizers
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -104,6 +105,14 @@ SYMBOLS = byte_symbols()
 _tokenizers: dict[int, WordTokenizer] = {}
 
 
+def tokenizer_of(json: str, mark: int) -> WordTokenizer:
+    """The tokenizer that this process keeps between tasks."""
+    if mark not in _tokenizers:
+        _tokenizers.clear()
+        _tokenizers[mark] = WordTokenizer(json)
+    return _tokenizers[mark]
+
+
 def crc_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -153,32 +162,40 @@ class Leaves:
         return node - (1 << LEVELS)
 
 
-def fit_leaves(df: DataFrame, key: str, text: str, json: str) -> Leaves:
-    """From the ``SAMPLE`` rows with the least hashes."""
-    rows = df.select(F.xxhash64(f"`{key}`", F.monotonically_increasing_id()).alias("h"), F.col(f"`{text}`").alias("t"))
+def fit_leaves(df: DataFrame, key: str, text: str, vocabulary: Broadcast, mark: int) -> bytes:
+    """Pickled ``Leaves`` from the ``SAMPLE`` rows with the least hashes, in the order of the table.
+
+    One task holds the sample, which ``SAMPLE`` and ``SAMPLED_TEXT`` bound; the driver gets what was fitted.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = [t or "" for batch in batches for t in batch.column(0).to_pylist()]
+        sample = [np.unique(np.append(np.frombuffer(b, "<u2"), np.uint16(END_OF_TEXT)))
+                  for b in tokenizer_of(vocabulary.value, mark).encode(texts)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Leaves(sample))], pa.binary())], ["leaves"])
+
+    place = F.monotonically_increasing_id()
+    rows = df.select(F.xxhash64(f"`{key}`", place).alias("h"), place.alias("n"), F.col(f"`{text}`").alias("t"))
     least = rows.select("h").orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
-    # bounded by SAMPLE and SAMPLED_TEXT
-    rows = rows.filter(F.col("h") <= F.lit(least)).select(F.substring("t", 1, SAMPLED_TEXT).alias("t")).collect()
-    ids = WordTokenizer(json).encode([r.t or "" for r in rows])
-    return Leaves([np.unique(np.append(np.frombuffer(b, "<u2"), np.uint16(END_OF_TEXT))) for b in ids])
+    if least is None:
+        return pickle.dumps(Leaves([]))
+    return (rows.filter(F.col("h") <= F.lit(least)).select("n", F.substring("t", 1, SAMPLED_TEXT).alias("t"))
+            .repartition(1).sortWithinPartitions("n").select("t").mapInArrow(run, "leaves binary").first()[0])
 
 
 def tokenize(df: DataFrame, key: str, text: str, vocabulary: str, window: int) -> DataFrame:
     """Full windows, remainders with their ids, and per task the document frequency of each id."""
     with open(public_tokenizers.path(vocabulary), encoding="utf-8") as f:
         json = f.read()
-    # bounded: one vocabulary and DIRECTIONS numbers for each of its ids
-    book = df.sparkSession.sparkContext.broadcast((json, fit_leaves(df, key, text, json)))
     mark = hash(json)
+    # bounded: one vocabulary and DIRECTIONS numbers for each of its ids
+    book = df.sparkSession.sparkContext.broadcast(json)
+    fitted = df.sparkSession.sparkContext.broadcast(fit_leaves(df, key, text, book, mark))
     key_type = df.select(f"`{key}`").schema[0].dataType.simpleString()
     schema = (f"row long, `{key}` {key_type}, start long, length long, ids_crc32 long, doc_tokens long, "
               "sequence_id long, ids binary, leaf int, terms array<int>, documents array<long>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if mark not in _tokenizers:
-            _tokenizers.clear()
-            _tokenizers[mark] = WordTokenizer(book.value[0])
-        tokenizer, leaves = _tokenizers[mark], book.value[1]
+        tokenizer, leaves = tokenizer_of(book.value, mark), pickle.loads(fitted.value)
         found = np.zeros(1 << 16, np.int64)
         sequence = TaskContext.get().partitionId() << 32
         key_arrow = None
@@ -341,13 +358,12 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str
     # one entry per id of the vocabulary at most
     counted = (rows.filter("terms is not null")
                .select(F.explode(F.arrays_zip("terms", "documents")).alias("x")).select("x.*")
-               .groupBy("terms").agg(F.sum("documents").alias("documents")).collect())
+               .groupBy("terms").agg(F.sum("documents").alias("documents")).toArrow())
     tails = rows.filter("ids is not null")
     mean = tails.agg(F.avg("length")).first()[0]
     n_docs = rows.filter("doc_tokens is not null and start + length = doc_tokens").count()
     frequency = np.zeros(1 << 16)
-    for r in counted:
-        frequency[r.terms] = r.documents
+    frequency[counted["terms"].to_numpy()] = counted["documents"].to_numpy()
     idf = np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5))
     # one row per leaf at most, as is the broadcast below
     leaves = tails.groupBy("leaf").count().collect()

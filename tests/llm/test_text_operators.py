@@ -1,6 +1,7 @@
 """Row-wise operators and exact copies against brute force."""
 
 import hashlib
+import pickle
 import random
 import re
 import zlib
@@ -201,6 +202,26 @@ def test_packing_small_windows_and_hard_rows(hard, none, words):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_fits_its_sample_outside_the_driver(monkeypatch, hard, words):
+    def refuse(*_):
+        raise AssertionError("the sample is encoded or fitted in the driver")
+
+    docs = hard.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    documents = {k: ids_of(words, t) for k, t in texts_of(docs)}
+    for kind in (packing.WordTokenizer, packing.Leaves):
+        monkeypatch.setattr(kind, "__init__", refuse)
+    check_pieces(packing.pack(docs, window=64, shard_documents=4).collect(), documents, 64)
+
+
+def test_leaves_follow_the_rows_in_table_order(spark, sf_dir, words):
+    json = words.to_str()
+    docs = table(spark, sf_dir, "documents")
+    book = spark.sparkContext.broadcast(json)
+    found = pickle.loads(packing.fit_leaves(docs, "doc_id", "text", book, hash(json)))
+    want = packing.Leaves([np.unique(ids_of(words, (t or "")[:packing.SAMPLED_TEXT])) for _, t in texts_of(docs)])
+    assert np.allclose(found.weights, want.weights, atol=1e-4) and (found.axis == want.axis).all()
+
+
 def test_bm25_prefers_documents_that_share_rare_words():
     documents = [np.array(x, np.uint16) for x in ([7, 8, 1], [7, 9, 1], [8, 7, 1], [5, 6, 1])]
     idf = np.full(1 << 16, 2.0)
